@@ -12,7 +12,8 @@ from ticktalk.operators.runs import RUN, Runs, find_cuts
 def exact_percentiles(
     df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), **size
 ) -> DataFrame:
-    """Linearly interpolated percentiles of the non-null values, as columns ``p0, p1, ...`` in the order given.
+    """Linearly interpolated percentiles of the non-null values, as columns ``p0, p1, ...`` in the order given,
+    and their number ``n``.
 
     Values are counted first, then ranked along runs of ``by + value``; only the rows that hold a wanted rank go on.
     """
@@ -59,7 +60,8 @@ def exact_percentiles(
     part = F.when(holds(low), F.col(value) * (1 - share)).otherwise(F.lit(0.0)) + F.when(
         holds(high) & (high > low), F.col(value) * share
     ).otherwise(F.lit(0.0))
-    pieces = near.select(*by, "__i", part.alias("__part"))
+    pieces = near.select(*by, "__total", "__i", part.alias("__part"))
     return pieces.groupBy(*by).agg(
+        F.max("__total").alias("n"),
         *[F.sum(F.when(F.col("__i") == i, F.col("__part"))).alias(f"p{i}") for i in range(len(probabilities))]
     )

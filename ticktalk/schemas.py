@@ -14,26 +14,24 @@ MESSAGE_FIELDS = (
 QUOTE_FIELDS = ("symbol", "price", "timestamp")
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT, _TIME = T.StringType(), T.TimestampType()
 
 
-MESSAGE = _struct(
-    "message_id STRING, text STRING, username STRING, first_name STRING, last_name STRING, user_id STRING, "
-    "is_bot BOOLEAN, channel_name STRING, channel_id STRING, timestamp TIMESTAMP"
-)
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+MESSAGE = _struct(**{name: _TEXT for name in MESSAGE_FIELDS} | {"is_bot": T.BooleanType(), "timestamp": _TIME})
 # On the wire every field is text: ids come as numbers or strings, flags as booleans or strings, times in two forms.
-MESSAGE_WIRE = T.StructType([T.StructField(name, T.StringType()) for name in MESSAGE_FIELDS])
-EMBEDDING = _struct("message_id STRING, embedding ARRAY<FLOAT>")
-EMBEDDING_CSV = _struct("message_id STRING, embedding STRING")
-QUOTE = _struct("symbol STRING, price DOUBLE, timestamp TIMESTAMP")
-QUOTE_WIRE = _struct("symbol STRING, price STRING, timestamp STRING")
-ASSIGNMENT = _struct("message_id STRING, cluster INT")
-CENTROID = _struct("cluster INT, centroid ARRAY<DOUBLE>")
-CHANNEL = _struct("name STRING, channel_id STRING")
-SCORED = T.StructType(
-    MESSAGE.fields + [T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("cluster", T.IntegerType())]
-)
+MESSAGE_WIRE = _struct(**{name: _TEXT for name in MESSAGE_FIELDS})
+EMBEDDING = _struct(message_id=_TEXT, embedding=T.ArrayType(T.FloatType()))
+EMBEDDING_CSV = _struct(message_id=_TEXT, embedding=_TEXT)
+QUOTE = _struct(symbol=_TEXT, price=T.DoubleType(), timestamp=_TIME)
+QUOTE_WIRE = _struct(symbol=_TEXT, price=_TEXT, timestamp=_TEXT)
+ASSIGNMENT = _struct(message_id=_TEXT, cluster=T.IntegerType())
+CENTROID = _struct(cluster=T.IntegerType(), centroid=T.ArrayType(T.DoubleType()))
+CHANNEL = _struct(name=_TEXT, channel_id=_TEXT)
+SCORED = T.StructType(MESSAGE.fields + EMBEDDING.fields[1:] + ASSIGNMENT.fields[1:])
 
 # Warehouse column types and the Spark type of each (fixed values).
 _COLUMN_TYPES = {
