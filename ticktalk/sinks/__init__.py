@@ -1,0 +1 @@
+"""Writers: partitioned files, typed and keyed tables, and connectors."""

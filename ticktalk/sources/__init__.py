@@ -1,0 +1 @@
+"""Readers: files, tables, and message streams. Every schema is declared."""

@@ -1,0 +1 @@
+"""Structured Streaming: windows, and the flows from raw messages to sinks."""
