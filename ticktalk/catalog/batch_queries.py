@@ -23,14 +23,14 @@ def _events(spark, d):
 
 
 @query("""
-    SELECT DISTINCT text, lang, source, CASE WHEN lang = 'en' THEN n_chars END AS n_chars FROM documents
+    SELECT DISTINCT text, lang, source, CAST(CASE WHEN lang = 'en' THEN n_chars END AS DOUBLE) AS n_chars FROM documents
     """)
 def union_drift_dedup(spark, d):
     documents = table(spark, d, "documents")
     root = scratch_path(spark, "drift")
     documents.where("lang = 'en'").select("text", "lang", "source", "n_chars").write.parquet(f"{root}/shape=1")
     documents.where("lang <> 'en'").select("source", "lang", "text").write.parquet(f"{root}/shape=2")
-    return sets.drop_copies(source.read_drifting_parquet(spark, root).drop("shape"))
+    return sets.drop_copies(source.read_drifting_parquet(spark, root).drop("shape")).withColumn("n_chars", F.col("n_chars").cast("double"))
 
 
 @query("""
@@ -60,8 +60,8 @@ def sharded_json_roundtrip(spark, d):
     path = scratch_path(spark, "shards")
     events = _events(spark, d).select("event_id", "event_type", "value", F.col("ts").alias("publish_time"))
     out.write_shards(events, path, key="event_id")
-    back = spark.read.schema("event_id BIGINT, event_type STRING, value DOUBLE, date STRING, hour INT, minute INT, shard INT").json(path)
-    return back.drop("shard")
+    back = spark.read.schema("event_id BIGINT, event_type STRING, value DOUBLE, date STRING, hour INT, minute STRING, shard INT").json(path)
+    return back.withColumn("minute", F.col("minute").cast("int")).drop("shard")
 
 
 @query("SELECT CAST(vec_id AS VARCHAR) AS message_id, len(embedding) AS width FROM embeddings")

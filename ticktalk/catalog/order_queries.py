@@ -24,6 +24,11 @@ NEAREST = f"""
         FROM both_sides)"""
 
 
+def _with_double_id(df):
+    """Numbers with gaps compare as doubles."""
+    return df.withColumn("quote_id", F.col("quote_id").cast("double"))
+
+
 def sides(spark, d):
     events = table(spark, d, "events")
     messages = events.where("event_type <> 'purchase'").select("event_id", "user_id", "ts")
@@ -31,29 +36,29 @@ def sides(spark, d):
     return messages, quotes
 
 
-@query(f"WITH {NEAREST} SELECT * FROM nearest")
+@query(f"WITH {NEAREST} SELECT event_id, ts, CAST(quote_id AS DOUBLE) AS quote_id, price, quote_ts FROM nearest")
 def asof_nearest(spark, d):
     messages, quotes = sides(spark, d)
-    return asof_join(messages.drop("user_id"), quotes.drop("user_id"), "ts", "event_id", "quote_id", quote_time="quote_ts")
+    return _with_double_id(asof_join(messages.drop("user_id"), quotes.drop("user_id"), "ts", "event_id", "quote_id", quote_time="quote_ts"))
 
 
 @query(f"""
     WITH {ASOF}
     SELECT m.event_id, m.user_id, m.ts,
-           CASE WHEN m.ts - quote_ts <= INTERVAL 2 DAYS THEN quote_id END AS quote_id,
+           CAST(CASE WHEN m.ts - quote_ts <= INTERVAL 2 DAYS THEN quote_id END AS DOUBLE) AS quote_id,
            CASE WHEN m.ts - quote_ts <= INTERVAL 2 DAYS THEN price END AS price
     FROM m ASOF LEFT JOIN q ON m.user_id = q.q_user AND m.ts >= q.quote_ts""")
 def asof_backward_by_user(spark, d):
     messages, quotes = sides(spark, d)
-    return asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="backward", tolerance=2 * 86400)
+    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="backward", tolerance=2 * 86400))
 
 
 @query(f"""
     WITH {ASOF}
-    SELECT m.event_id, m.user_id, m.ts, quote_id, price FROM m ASOF LEFT JOIN q ON m.user_id = q.q_user AND m.ts <= q.quote_ts""")
+    SELECT m.event_id, m.user_id, m.ts, CAST(quote_id AS DOUBLE) AS quote_id, price FROM m ASOF LEFT JOIN q ON m.user_id = q.q_user AND m.ts <= q.quote_ts""")
 def asof_forward_by_user(spark, d):
     messages, quotes = sides(spark, d)
-    return asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="forward")
+    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="forward"))
 
 
 def _rounded_changes(df):
@@ -86,14 +91,14 @@ def rolling_prev4(spark, d):
 
 @query("""
     SELECT event_id, ts, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS price,
-           last_value(CASE WHEN event_type = 'signup' THEN user_id END IGNORE NULLS) OVER w AS newcomer
+           last_value(CASE WHEN event_type = 'signup' THEN CAST(user_id AS DOUBLE) END IGNORE NULLS) OVER w AS newcomer
     FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def forward_fill(spark, d):
     sparse = table(spark, d, "events").select(
         "event_id",
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("price"),
-        F.when(F.col("event_type") == "signup", F.col("user_id")).alias("newcomer"),
+        F.when(F.col("event_type") == "signup", F.col("user_id").cast("double")).alias("newcomer"),
     )
     return runs.fill_forward(sparse, ["ts", "event_id"])
 

@@ -53,14 +53,14 @@ def raw_messages(spark, d):
 
 
 @query("""
-    SELECT event_id, CASE WHEN event_type <> 'view' THEN user_id END AS "user",
+    SELECT event_id, CAST(CASE WHEN event_type <> 'view' THEN user_id END AS DOUBLE) AS "user",
            event_type = 'click' AS text_was_absent, ts AS published
     FROM events WHERE event_type NOT IN ('signup', 'error')""")
 def json_required_keys(spark, d):
     raw = raw_messages(spark, d).withColumn("value", wire.decode_utf8("value"))
     rows = wire.parse_object(raw.where(wire.holds_keys("value", ["event_id", "user"])), _PAYLOAD)
     text = wire.default_when_absent("value", "text", F.col("text"))
-    return rows.select("event_id", "user", (text == "").alias("text_was_absent"), F.col("publish_time").cast("timestamp_ntz").alias("published"))
+    return rows.select("event_id", F.col("user").cast("double"), (text == "").alias("text_was_absent"), F.col("publish_time").cast("timestamp_ntz").alias("published"))
 
 
 @query("""
@@ -97,7 +97,7 @@ def bot_tag_filter(spark, d):
 
 @query("""
     SELECT source || d.doc_id AS message_id, replace(text, chr(10), '\\n ') AS line, length(text) AS text_length,
-           CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS is_bot, quality
+           CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS is_bot, CAST(quality AS DOUBLE) AS quality
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def normalise_messages(spark, d):
     documents = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").drop("lang", "n_chars")
@@ -107,7 +107,7 @@ def normalise_messages(spark, d):
         M.one_line("text").alias("line"),
         M.text_length("text").alias("text_length"),
         M.bot_flag(flag, strict=True).alias("is_bot"),
-        "quality",
+        F.col("quality").cast("double"),
     )
 
 
@@ -161,10 +161,10 @@ def trailing_range(spark, d):
 
 
 @query("""
-    SELECT d.doc_id, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS DISTINCT FROM 1""")
+    SELECT d.doc_id, CAST(quality AS DOUBLE) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS DISTINCT FROM 1""")
 def null_safe_filter(spark, d):
     documents = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
-    return documents.where(M.differs("quality", 1)).select("doc_id", "quality")
+    return documents.where(M.differs("quality", 1)).select("doc_id", F.col("quality").cast("double"))
 
 
 @query("""
@@ -191,11 +191,11 @@ def channel_enrich(spark, d):
 
 
 @query("""
-    SELECT CAST(ts AS DATE) AS date, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std
     FROM events WHERE event_type = 'purchase' GROUP BY 1""")
 def daily_stats(spark, d):
     quotes = table(spark, d, "events").where("event_type = 'purchase'")
-    return profile.daily_stats(quotes, "ts", "value").select("date", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    return profile.daily_stats(quotes, "ts", "value").select(F.col("date").cast("string"), F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 _SUMMARY = ("mean", "std", "min", "p25", "p50", "p75", "max")
@@ -280,10 +280,10 @@ def binned_change(spark, d):
 
 @query(f"""
     WITH {CHANGES}
-    SELECT CAST(ts AS DATE) AS date, {_SPREAD.replace("(x", "(price_change")} FROM changes WHERE price_change IS NOT NULL GROUP BY 1""")
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, {_SPREAD.replace("(x", "(price_change")} FROM changes WHERE price_change IS NOT NULL GROUP BY 1""")
 def change_spread_by_date(spark, d):
     changes = settle(quote_changes(spark, d).select(F.to_date("ts").alias("date"), "price_change"), "changes")
-    return _rounded_summary(profile.spread_per_group(changes, "price_change", ["date"]), "date")
+    return _rounded_summary(profile.spread_per_group(changes, "price_change", ["date"]), F.col("date").cast("string"))
 
 
 @query(f"SELECT event_type, {_SPREAD.replace('(x', '(value')} FROM events GROUP BY 1")

@@ -63,7 +63,8 @@ def stream_shards(spark, d):
     path = scratch_path(spark, "stream-shards")
     events = _published(_stream(spark, d, "events")).select("event_id", "value", "publish_time")
     write_shards(events, path, key="event_id", checkpoint=scratch_path(spark, "state")).awaitTermination()
-    return spark.read.schema("event_id BIGINT, value DOUBLE, date STRING, hour INT, minute INT, shard INT").json(path).drop("shard")
+    back = spark.read.schema("event_id BIGINT, value DOUBLE, date STRING, hour INT, minute STRING, shard INT").json(path)
+    return back.withColumn("minute", F.col("minute").cast("int")).drop("shard")
 
 
 @query(f"""

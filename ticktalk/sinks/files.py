@@ -9,8 +9,14 @@ from ticktalk.functions.messages import shard_of
 from ticktalk.functions.times import HOUR_PARTS, path_parts, with_hour_parts
 from ticktalk.streaming.windows import window_start
 
+# Folders of landed messages. Minute and shard stay columns: a folder for each would make files of a few rows, and
+# opening files would then cost more than writing rows. Pass SHARD_PARTS where other readers rely on such folders.
+HOUR_FOLDERS = ("date", "hour")
 SHARD_PARTS = ("date", "hour", "minute", "shard")
 
+# Microseconds, which the default text forms cut off.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _evened(df: DataFrame, *columns: str) -> DataFrame:
     """Gather the rows of a partition before writing it; Spark splits partitions that turn out too large."""
@@ -24,7 +30,7 @@ def _replace_partitions(df: DataFrame, *columns: str):
 def with_shard_parts(
     df: DataFrame, published: str = "publish_time", key: Column | str = "message_id", minutes: float = 1.0, shards: int = 3
 ) -> DataFrame:
-    """Add the folder columns: window start as date, hour and minute, and a shard number."""
+    """Add the place of a message: window start as date, hour and minute, and a shard number."""
     start = window_start(published, minutes)
     return df.withColumns(path_parts(start) | {"shard": shard_of(key, shards)})
 
@@ -36,15 +42,16 @@ def write_shards(
     key: Column | str = "message_id",
     minutes: float = 1.0,
     shards: int = 3,
+    folders: tuple[str, ...] = HOUR_FOLDERS,
     checkpoint: str | None = None,
 ) -> StreamingQuery | None:
-    """JSON lines per window and shard, without the publish time. Streams are written as they come: the window is a
-    plain column, so that no late row is dropped and no window is gathered in memory."""
+    """JSON lines with the window and shard of every message, without the publish time. Streams are written as they
+    come: the window is a plain column, so that no late row is dropped and no window is gathered in memory."""
     laid_out = with_shard_parts(df, published, key, minutes, shards).drop(published)
     if not df.isStreaming:
-        _replace_partitions(laid_out, *SHARD_PARTS).json(path)
+        _replace_partitions(laid_out, *folders).options(**JSON_TIMES).json(path)
         return None
-    writer = laid_out.writeStream.partitionBy(*SHARD_PARTS).format("json").option("checkpointLocation", checkpoint)
+    writer = laid_out.writeStream.partitionBy(*folders).format("json").options(**JSON_TIMES).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start(path)
 
 
@@ -57,7 +64,8 @@ def write_hourly_parquet(df: DataFrame, path: str, source: str, ts: str = "times
 def write_snapshot(df: DataFrame, path: str, taken_at: Column | None = None) -> None:
     """JSON of the whole batch below the date and hour it was taken; a rerun in the hour replaces it."""
     parts = path_parts(F.current_timestamp() if taken_at is None else taken_at)
-    _replace_partitions(df.withColumns({name: parts[name] for name in ("date", "hour")}), "date", "hour").json(path)
+    snapshot = df.withColumns({name: parts[name] for name in HOUR_FOLDERS})
+    _replace_partitions(snapshot, *HOUR_FOLDERS).options(**JSON_TIMES).json(path)
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:

@@ -12,7 +12,7 @@ from ticktalk.functions.times import ingest_time, parse_time
 from ticktalk.functions.wire import RAW, decode_utf8, default_when_absent, holds_keys, parse_object
 from ticktalk.operators.clusters import attach_nearest, hashed_embedding
 from ticktalk.schemas import MESSAGE, MESSAGE_FIELDS, MESSAGE_WIRE, QUOTE, QUOTE_FIELDS, QUOTE_WIRE
-from ticktalk.sinks.files import SHARD_PARTS, with_shard_parts
+from ticktalk.sinks.files import HOUR_FOLDERS, JSON_TIMES, with_shard_parts
 from ticktalk.sinks.keyed import upsert
 from ticktalk.sinks.tables import append_batch
 
@@ -62,8 +62,8 @@ def message_sinks(root: str, minutes: float = 1.0, shards: int = 3) -> dict[str,
     def raw(batch: DataFrame, batch_id: int) -> None:
         parts = with_shard_parts(batch, minutes=minutes, shards=shards).drop("publish_time")
         rows = parts.withColumn("batch_id", F.lit(batch_id))
-        writer = rows.hint("rebalance", *SHARD_PARTS).write.partitionBy(*SHARD_PARTS, "batch_id").mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").json(f"{root}/raw")
+        writer = rows.hint("rebalance", *HOUR_FOLDERS).write.partitionBy(*HOUR_FOLDERS, "batch_id").mode("overwrite")
+        writer.options(**JSON_TIMES).option("partitionOverwriteMode", "dynamic").json(f"{root}/raw")
 
     def chatrooms(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch.select(*MESSAGE.names), f"{root}/chatrooms", batch_id)
