@@ -10,13 +10,17 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 
+def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows, and bytes as JSON text. Sizes are taken only if there are at most ``max_rows`` rows."""
+    rows = df.count()
+    if rows > max_rows:
+        return rows, -1
+    return rows, df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast if counting shows that it is small; else as it was, for a shuffle join."""
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)))
-        .first()
-    )
+    rows, size = measured(df, max_rows)
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 

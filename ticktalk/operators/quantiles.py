@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -42,7 +43,9 @@ def exact_percentiles(
 
     total = F.count("*").alias("__total")
     if by:
-        ranked = ranked.join(df.groupBy(*by).agg(total), by)
+        totals = df.groupBy(*by).agg(total).select("__total", *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)])
+        own = [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)]
+        ranked = ranked.join(totals, reduce(lambda a, b: a & b, own))
     else:
         ranked = ranked.withColumn("__total", df.agg(total).scalar())
     places = []

@@ -141,31 +141,24 @@ class Runs:
         own = self.df.withColumn(HALO, F.lit(False))
         if self.cuts.runs == 1:
             return own
+        narrow = list(dict.fromkeys([*self.keys, *needs]))
         newest = Window.partitionBy(RUN).orderBy(*[F.desc_nulls_last(k) for k in self.keys])
-        narrow = list(dict.fromkeys([RUN, *self.keys, *needs]))
+        # One row per non-empty run with its last rows in order, then the last rows of the runs before: each of those
+        # holds at least one row, so as many runs as rows are enough.
         tails = (
-            self.df.select(*narrow)
+            self.df.select(RUN, *narrow)
             .withColumn("__n", F.row_number().over(newest))
             .where(F.col("__n") <= rows)
-            .withColumn("__place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(RUN, F.desc("__n"))))
-        )  # at most rows * MAX_RUNS rows
-        counts = self.per_run(F.count("*").alias("__c"), df=tails)
-        before = F.coalesce(F.sum("__c").over(self.earlier()), F.lit(0))
-        wanted = (
-            counts.select(RUN, before.alias("__before"))
-            .where(F.col("__before") > 0)
-            .select(
-                F.col(RUN).alias("__to"),
-                F.explode(F.sequence(F.greatest(F.lit(1), F.col("__before") - (rows - 1)), F.col("__before"))).alias("__place"),
-            )
+            .groupBy(RUN)
+            .agg(F.collect_list(F.struct("__n", *narrow)).alias("__tail"))
+            .withColumn("__tail", F.array_sort("__tail", lambda a, b: b["__n"] - a["__n"]))
         )
-        copies = (
-            tails.withColumn("__place", F.col("__place").cast("long"))
-            .join(wanted, "__place")
-            .withColumn(RUN, F.col("__to"))
-            .withColumn(HALO, F.lit(True))
-        )
-        return own.unionByName(copies.select(*narrow, HALO), allowMissingColumns=True)
+        recent = Window.partitionBy(F.lit(0)).orderBy(RUN).rowsBetween(-rows, -1)
+        before = tails.select(RUN, F.flatten(F.collect_list("__tail").over(recent)).alias("__before"))
+        first = F.greatest(F.size("__before") - (rows - 1), F.lit(1))
+        copies = before.select(RUN, F.explode(F.slice("__before", first, F.lit(rows))).alias("__row"))
+        copies = copies.select(RUN, *[F.col("__row")[c].alias(c) for c in narrow], F.lit(True).alias(HALO))
+        return own.unionByName(copies, allowMissingColumns=True)
 
     def framed(self, rows: int, needs: Sequence[str], columns: dict[str, Callable[[WindowSpec], Column]]) -> DataFrame:
         """Add window columns over ``needs`` whose frames reach at most ``rows`` rows back.

@@ -45,7 +45,7 @@ _COLUMN_TYPES = {
 
 def read_table_document(spark: SparkSession, path: str) -> dict:
     """One JSON table description, from any file system Spark can read."""
-    return json.loads(spark.read.option("wholetext", True).text(path).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def struct_from_document(document: dict) -> T.StructType:
