@@ -58,7 +58,7 @@ def raw_messages(spark, d):
     FROM events WHERE event_type NOT IN ('signup', 'error')""")
 def json_required_keys(spark, d):
     raw = raw_messages(spark, d).withColumn("value", wire.decode_utf8("value"))
-    rows = wire.parse_object(raw.where(wire.holds_keys("value", ["event_id", "user"])), _PAYLOAD)
+    rows = wire.parse_object(raw.where(wire.holds_keys("value", ["event_id", "user"])), _PAYLOAD, checked=True)
     text = wire.default_when_absent("value", "text", F.col("text"))
     return rows.select("event_id", F.col("user").cast("double"), (text == "").alias("text_was_absent"), F.col("publish_time").cast("timestamp_ntz").alias("published"))
 

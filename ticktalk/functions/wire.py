@@ -27,13 +27,14 @@ def is_object(raw: Column | str) -> Column:
     return F.json_object_keys(raw).isNotNull()
 
 
-def parse_object(df: DataFrame, schema: T.StructType, raw: str = RAW, mode: str = "drop") -> DataFrame:
-    """Replace the raw text by one column per schema field.
+def parse_object(df: DataFrame, schema: T.StructType, raw: str = RAW, mode: str = "drop", checked: bool = False) -> DataFrame:
+    """Add one column per schema field.
 
-    ``mode="drop"`` leaves out payloads that are not JSON objects, ``mode="fail"`` stops the job on them.
+    ``mode="drop"`` leaves out payloads that are not JSON objects, ``mode="fail"`` stops the job on them. ``checked``
+    spares the check of rows that were already filtered by ``holds_keys``.
     """
     if mode == "drop":
-        df, parser = df.where(is_object(raw)), "PERMISSIVE"
+        df, parser = df if checked else df.where(is_object(raw)), "PERMISSIVE"
     elif mode == "fail":
         parser = "FAILFAST"
     else:

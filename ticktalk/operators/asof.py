@@ -15,7 +15,7 @@ from ticktalk.operators.runs import RUN, Runs
 _SIDE, _TIE, _QUOTE = "__side", "__tie", "__quote"
 
 # A price feed with one quote every 15 seconds has 2.1 million quotes a year.
-SMALL_ROWS = 4_000_000
+SMALL_ROWS = 2_500_000
 SMALL_BYTES = 256 << 20  # as JSON text, a few times their size in memory
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _SEARCHABLE = (*_TIMES, T.LongType, T.IntegerType, T.DoubleType)

@@ -36,16 +36,18 @@ def fit_clusters(
     max_iter: int = 20,
     vector: str = "embedding",
     pin_by: str | None = None,
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> tuple[KMeansModel, DataFrame]:
     """(model, ``df`` with a ``cluster`` column). ``vector`` is an array without nulls.
 
-    Sums depend on the layout of the rows: ``pin_by`` sorts them by a key over a fixed number of partitions first.
+    Sums depend on the layout of the rows. Where runs have to be repeatable, ``pin_by`` first lays them out by a key,
+    over ``partitions`` parts or as many as the session shuffles into; that is one shuffle of the vectors.
     """
     rows = df.withColumn("__features", dense(vector))
     training = rows.select("__features", *([pin_by] if pin_by else []))
     if pin_by:
-        training = training.repartition(partitions, pin_by).sortWithinPartitions(pin_by)
+        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        training = training.repartition(parts, pin_by).sortWithinPartitions(pin_by)
     estimator = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol="cluster")
     model = estimator.fit(training.select("__features"))
     return model, model.transform(rows).drop("__features")

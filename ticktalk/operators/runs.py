@@ -90,6 +90,14 @@ def find_cuts(
     return Cuts(tuple(keys), schema, tuple(found[i] for i in sorted(places)))
 
 
+def _numbered(df: DataFrame, cuts: Cuts) -> DataFrame:
+    if cuts.runs == 1:
+        return df.withColumn(RUN, F.lit(0))
+    # Exploding a one-element array keeps the optimizer from seeing through the column: it would derive filters for the
+    # other side of a join on it that search the cuts with columns of this side.
+    return df.select(*df.columns, F.explode(F.array(cuts.run_of())).alias(RUN))
+
+
 class Runs:
     """A table cut into runs along ``by + order``. Frames restart where a ``by`` column changes."""
 
@@ -105,7 +113,7 @@ class Runs:
         self.order, self.by = list(order), list(by)
         self.keys = self.by + self.order
         self.cuts = cuts if cuts is not None else find_cuts(df, self.keys, rows_per_run, max_runs)
-        self.df = df.withColumn(RUN, self.cuts.run_of())
+        self.df = _numbered(df, self.cuts)
 
     def on(self, df: DataFrame) -> Runs:
         """Another table (say, a filtered one) along the same cuts."""

@@ -48,9 +48,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ticktalk/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so that later passes and lost executors
-    restart from files instead of the whole lineage."""
-    path = scratch_path(df.sparkSession, label)
+def settle(df: DataFrame, label: str = "settled", path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, so that later passes and lost executors restart from
+    files instead of the whole lineage. The files stay until ``discard`` is called on their path."""
+    path = path or scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete what ``settle`` wrote to these paths. Only paths below the shared scratch folder are touched."""
+    root = f"{shared_dir(spark)}/ticktalk/"
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"{path} is not below {root}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ticktalk.operators.enrich import latest_per_key
-from ticktalk.session import scratch_path, settle
+from ticktalk.session import discard, scratch_path, settle
 
 BUCKET = "key_bucket"
 BUCKETS = 64
@@ -32,15 +32,17 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str
     """
     spark, keys = batch.sparkSession, list(keys)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    new = settle(latest_per_key(batch, keys, order).withColumn(BUCKET, bucket), "upsert-new")
-    touched = [row[BUCKET] for row in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
-        return
-    merged = new
-    if read_keyed(spark, path) is not None:
-        old = spark.read.schema(new.schema).parquet(path).where(F.col(BUCKET).isin(touched))
-        merged = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
-    aside = scratch_path(spark, "upsert-merged")
-    merged.hint("rebalance", BUCKET).write.parquet(aside)
-    ready = spark.read.schema(new.schema).parquet(aside)
-    ready.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    aside = [scratch_path(spark, label) for label in ("upsert-new", "upsert-merged")]
+    try:
+        new = settle(latest_per_key(batch, keys, order).withColumn(BUCKET, bucket), path=aside[0])
+        touched = [row[BUCKET] for row in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
+        ready = new
+        if read_keyed(spark, path) is not None:
+            old = spark.read.schema(new.schema).parquet(path).where(F.col(BUCKET).isin(touched))
+            ready = settle(new.unionByName(old.join(new.select(*keys), keys, "left_anti")), path=aside[1])
+        writer = ready.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    finally:
+        discard(spark, *aside)

@@ -27,7 +27,7 @@ def parse_messages(payloads: DataFrame, embed: Embed = hashed_embedding, mode: s
         complete = holds_keys(RAW, MESSAGE_FIELDS)
         # In fail mode payloads that are no objects have to reach the parser.
         text = text.where(complete if mode == "drop" else complete | F.json_object_keys(RAW).isNull())
-    wire = parse_object(text, MESSAGE_WIRE, mode=mode)
+    wire = parse_object(text, MESSAGE_WIRE, mode=mode, checked=check_fields)
     wire = wire.withColumn("text", default_when_absent(RAW, "text", F.col("text"))).drop(RAW)
     typed = wire.withColumns({"is_bot": as_boolean("is_bot"), "timestamp": parse_time("timestamp")})
     return embed(typed)
@@ -38,7 +38,7 @@ def parse_quotes(payloads: DataFrame, now: Column | None = None, mode: str = "fa
     text = payloads.withColumn(RAW, decode_utf8(RAW))
     complete = holds_keys(RAW, [f for f in QUOTE_FIELDS if f != "timestamp"])
     text = text.where(complete if mode == "drop" else complete | F.json_object_keys(RAW).isNull())
-    wire = parse_object(text, QUOTE_WIRE, mode=mode).drop(RAW)
+    wire = parse_object(text, QUOTE_WIRE, mode=mode, checked=True).drop(RAW)
     return wire.withColumns({"price": price_of("price"), "timestamp": ingest_time() if now is None else now})
 
 
