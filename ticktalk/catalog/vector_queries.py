@@ -42,20 +42,20 @@ def clean_embeddings(spark, d):
 
 @query()
 def kmeans_labels(spark, d):
-    _, labelled = clusters.fit_clusters(table(spark, d, "embeddings"), pin_by="vec_id")
+    _, labelled = clusters.fit_clusters(table(spark, d, "embeddings"))
     return labelled.select("vec_id", "cluster")
 
 
 @query()
 def kmeans_short(spark, d):
-    _, labelled = clusters.fit_clusters(table(spark, d, "embeddings"), max_iter=5, pin_by="vec_id")
+    _, labelled = clusters.fit_clusters(table(spark, d, "embeddings"), max_iter=5)
     return labelled.select("vec_id", "cluster")
 
 
 @query("SELECT vec_id, TRUE AS label_is_nearest FROM embeddings")
 def kmeans_centres_roundtrip(spark, d):
     """Centres are exported and read back; the label of every vector has to be its nearest exported centre."""
-    model, labelled = clusters.fit_clusters(table(spark, d, "embeddings"), pin_by="vec_id")
+    model, labelled = clusters.fit_clusters(table(spark, d, "embeddings"))
     path = scratch_path(spark, "centres")
     write_centres(clusters.centres_of(model, spark), path)
     near = clusters.attach_nearest(labelled, read_centres(spark, path), out="near")

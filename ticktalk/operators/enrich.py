@@ -40,7 +40,8 @@ def join_complete(left: DataFrame, right: DataFrame, key: str = "message_id") ->
 
 
 def latest_per_channel(df: DataFrame, channel: str, order: Sequence[str], n: int = 10) -> DataFrame:
-    """The last ``n`` rows of each channel. Each task first cuts its own rows to ``n`` per channel."""
+    """The last ``n`` rows of each channel. Each task first cuts its own rows to ``n`` per channel; Spark does so up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, 1000 unless set."""
     newest = Window.partitionBy(channel).orderBy(*[F.desc(c) for c in order])
     return df.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= n).drop("__n")
 

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import SparkSession, types as T
 
-# The ten message fields, in table order.
+# The fields of messages and quotes on the wire, in table order.
 MESSAGE_FIELDS = (
     "message_id", "text", "username", "first_name", "last_name",
     "user_id", "is_bot", "channel_name", "channel_id", "timestamp",
