@@ -52,11 +52,15 @@ def _search(chosen: DataFrame, kept: list[str], direction: str):
     table = table.take(pa.compute.sort_indices(table, sort_keys=[("at", "ascending"), ("tie", "ascending")], null_placement="at_start"))
     kind = T.StructType([T.StructField("at", chosen.schema["at"].dataType), *[chosen.schema[c] for c in kept]])
     columns = [table.column(f.name).combine_chunks() for f in kind.fields]
-    axis = _axis(table.column("at"))
 
-    @F.arrow_udf(kind)
+    # Nested, so that it travels with the function and executors need no copy of this package.
+    def numbers(times: pa.Array) -> np.ndarray:
+        return (times.cast(pa.int64()) if pa.types.is_timestamp(times.type) else times).to_numpy(zero_copy_only=False)
+
+    axis = numbers(table.column("at").combine_chunks())
+
     def match(times: pa.Array) -> pa.Array:
-        wanted = _axis(times)
+        wanted = numbers(times)
         behind = np.searchsorted(axis, wanted, side="right") - 1
         beyond = np.searchsorted(axis, wanted, side="left")
         if direction == "backward" or not len(axis):
@@ -70,12 +74,7 @@ def _search(chosen: DataFrame, kept: list[str], direction: str):
         place = pa.array(place, pa.int64(), mask=(place < 0) | (place >= len(axis)))
         return pa.StructArray.from_arrays([c.take(place) for c in columns], kind.names)
 
-    return match
-
-
-def _axis(times: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    numbers = times.cast(pa.int64()) if pa.types.is_timestamp(times.type) else times
-    return numbers.to_numpy(zero_copy_only=False) if isinstance(numbers, pa.Array) else numbers.to_numpy()
+    return F.arrow_udf(match, kind)
 
 
 def asof_join(

@@ -81,9 +81,12 @@ def collect_centres(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def nearest_centre(vector: Column | str, numbers: np.ndarray, matrix: np.ndarray) -> Column:
     """``struct(cluster, distance)`` of the nearest centre: the lowest number on a tie, and NULLs where there is
     none (no centres, no vector, a vector of another width, or no finite distance)."""
+    return F.arrow_udf(nearest_centre_function(numbers, matrix), "struct<cluster: int, distance: double>")(vector)
+
+
+def nearest_centre_function(numbers: np.ndarray, matrix: np.ndarray) -> Callable[[pa.Array], pa.Array]:
     width = matrix.shape[1]
 
-    @F.arrow_udf("struct<cluster: int, distance: double>")
     def nearest(vectors: pa.Array) -> pa.Array:
         sizes = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
         usable = np.flatnonzero((sizes == width) & (len(numbers) > 0))
@@ -104,7 +107,7 @@ def nearest_centre(vector: Column | str, numbers: np.ndarray, matrix: np.ndarray
             [pa.array(cluster, pa.int32(), mask=none), pa.array(best, pa.float64(), mask=none)], ["cluster", "distance"]
         )
 
-    return nearest(vector)
+    return nearest
 
 
 def attach_nearest(df: DataFrame, centres: DataFrame, vector: str = "embedding", out: str = "cluster", distance: str | None = None) -> DataFrame:
