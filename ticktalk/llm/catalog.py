@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from ticktalk.llm import exact_dedup, mixing, quality  # noqa: F401
+from ticktalk.llm import byte_bpe, exact_dedup, language, mixing, quality, urls  # noqa: F401
 from ticktalk.llm.common import LLM_ORACLES, LLM_QUERIES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
