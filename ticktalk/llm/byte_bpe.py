@@ -272,15 +272,15 @@ def encode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col:
 
 
 def decode(encoded: DataFrame, rank_file: bytes) -> DataFrame:
-    """``doc_id, data``: bytes of the ids. Null ids: none."""
+    """``doc_id, ids, data``: the bytes of the ids. Null ids: none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {i: b for b, i in read_ranks(rank_file).items()}
         for batch in batches:
             data = [b"".join(map(tokens.__getitem__, x or ())) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(data, pa.binary())], ["doc_id", "ids", "data"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, data binary")
+    return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids array<int>, data binary")
 
 
 def digests(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticktalk.llm.common import query, table, word_count
+from ticktalk.llm.common import BLANKS, query, table, word_count
 from ticktalk.session import settle
 
 #: Weights of the sources in their order, repeating; share of all sizes that the mix has; most copies of a source.
@@ -130,6 +130,25 @@ def taken_words(documents: DataFrame, mixture: DataFrame) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **parameters) -> DataFrame:
+    """The mix as rows of ``docs``: one row for each time that a document is taken, with the words that the mix takes of it.
+
+    A whole document keeps its text; where a source's share ends inside a document, the first words stay, joined by one space.
+    Documents of no words are not taken. Rows that repeat an id are told apart by their order of size, so each row's words are taken
+    as often as its size says."""
+    placed, mixture = mix(docs, id_col, text_col, source_col, **parameters)
+    taken = mixture.groupBy("number", "place", "pass").agg(F.sum("n_words").alias("_taken"))
+    ids = placed.join(taken, ["number", "place"]).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_taken", "number", "place", "pass")
+    nth = F.dense_rank().over(Window.partitionBy("_id").orderBy("_size", "number", "place"))
+    ids = ids.withColumn("_nth", nth).drop("number", "place", "pass")
+    rows = docs.withColumn("_words", word_count(F.col(text_col))).where("_words > 0")
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy(id_col).orderBy("_words", F.col(source_col).asc_nulls_last())))
+    out = rows.join(ids, rows[id_col].eqNullSafe(ids["_id"]) & (rows["_row"] == ids["_nth"]))
+    some = F.array_join(F.slice(F.filter(F.split(F.col(text_col), BLANKS), lambda w: w != ""), 1, F.col("_taken").cast("int")), " ")
+    text = F.when(F.col("_taken") < F.col("_size"), some).otherwise(F.col(text_col))
+    return out.withColumn(text_col, text).select(*docs.columns)
+
+
 @query()
 def op2_mix_sources(spark, sf_dir):
     return taken_words(*mix(table(spark, sf_dir, "documents")))

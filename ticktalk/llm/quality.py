@@ -113,9 +113,9 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
     return out | {"n_lines": np.array(lines, np.int64), "n_dup_lines": np.array(again, np.int64), "line_bytes": np.array(line_chars, np.int64), "dup_line_bytes": np.array(again_chars, np.int64)}
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     lengths = tuple(NGRAM_LIMITS)
-    for batch in pieces(batches, "text"):
+    for batch in pieces(batches, "text", limit):
         m = measure(text_bytes(batch.column("text")), lengths)
         repeats = m[f"words_{BASE_REPEATS}"]
         failed = (m["n_words"] < MIN_WORDS) | (100 * repeats > 20 * m["n_words"])
@@ -141,6 +141,20 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(_rows, f"doc_id long, {counts}, base_failed boolean, kept boolean, {more}, dup_line_bytes long")
 
 
+def keep_clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that ``quality`` keeps, with all their columns, judged and passed on in one narrow pass."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # names of other columns may clash
+    text = F.col(text_col).cast("string").alias("text")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            judged = next(_rows(iter([pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], ["doc_id", "text"])]), limit=2**62))
+            yield batch.select(names).filter(judged.column("kept"))
+
+    kinds = ", ".join(f"{n} {k}" for n, (_, k) in zip(names, docs.dtypes))
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], text).mapInArrow(rows, kinds).toDF(*docs.columns)
+
+
 @query()
 def op10_quality(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"))
