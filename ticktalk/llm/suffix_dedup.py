@@ -13,8 +13,10 @@ from ticktalk.llm.common import pieces, query, table, text_bytes
 from ticktalk.llm.repeats import LAST, Spans, U, covered, keyed, mix, repeated_spans, sliding_least
 from ticktalk.session import settle
 
-#: Bytes of a window; phrases begin at the least of GAP hashes of GRAM bytes; phrases by which suffixes are told apart.
-WIDTH, GAP, GRAM, DEPTH = 400, 64, 16, 3
+#: Bytes of a window; phrases begin at the least of GAP hashes of GRAM bytes; phrases by which suffixes are told apart; bytes
+#: among which a window chooses its phrase, so that this and the phrases that follow depend on bytes of the window alone.
+WIDTH, GAP, GRAM, DEPTH = 400, 32, 16, 4
+REACH = WIDTH - (GAP - 1) - DEPTH * GAP - (GAP + GRAM - 1)
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -56,8 +58,9 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD1342543DE82EF95))
 
 def byte_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, ...]:
     """(text, block, first window, windows, two hashes) of each segment. A text is cut into phrases at the bytes whose next
-    GRAM bytes have the least hash among some GAP neighbours. A window's block is that of the first phrase that begins GAP - 1
-    bytes or more after its start: all phrases that the block tells apart lie in the window, and depend on it alone."""
+    GRAM bytes have the least hash among some GAP neighbours. A window chooses the phrase of least name among those that begin
+    GAP - 1 bytes or more, and less than GAP - 1 + REACH, after its start. Its name is the phrase's block, and the bytes that all windows
+    have which can choose it."""
     sizes = np.array([len(t) for t in texts], np.int64)
     empty = (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2)
     if not (sizes >= width).any():
@@ -85,13 +88,17 @@ def byte_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, .
     block = refined_blocks(np.append(sequence, U(0)), DEPTH)[place]
 
     window = np.concatenate([np.arange(b, e - width + 1) for b, e in zip(begins, ends)])
-    chosen = np.searchsorted(cuts, window + GAP - 1)
+    rank = np.full(len(data), 2**64 - 1, U)
+    rank[cuts] = mix(phrase) >> U(1)
+    chosen = np.searchsorted(cuts, sliding_least(rank, REACH)[window + GAP - 1])
     new = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (window[1:] != window[:-1] + 1))))
     lo, hi = window[new], window[np.append(new[1:], len(window)) - 1]
     at = chosen[new]
     text = np.searchsorted(ends, lo, "right")
     s1 = spans.hash(lo, hi + width, 0) ^ mix((cuts[at] - lo).astype(U))
-    return long[text], block[at], lo - begins[text], hi - lo + 1, s1, spans.hash(lo, hi + width, 1)
+    core = cuts[at] - (GAP - 1)
+    name = mix(block[at]) ^ spans.hash(core, core + width - REACH + 1)
+    return long[text], name, lo - begins[text], hi - lo + 1, s1, spans.hash(lo, hi + width, 1)
 
 
 def byte_spans(text: bytes) -> Spans:
