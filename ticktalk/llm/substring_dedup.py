@@ -51,7 +51,7 @@ def recompressed(names: np.ndarray, doc: np.ndarray, rounds: int) -> np.ndarray:
 
 
 def word_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(text, anchor, first window, windows, two hashes) of each segment. A window's anchor is, among the symbols that begin
+    """(text, anchor, first window, windows, two hashes, anchor's place) of each segment. A window's anchor is, among the symbols that begin
     where equal windows agree, the one whose next words have the smallest name."""
     front, back = 9, 6
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -59,7 +59,7 @@ def word_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, .
     doc = np.searchsorted(np.cumsum(sizes + 1), at, "right")
     reach = width - front - max(back, ANCHOR) + 1
     if len(words) < width:
-        return (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2)
+        return (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2, np.zeros(0, np.int64))
     spans = Spans(words)
     name = spans.every(ANCHOR)
     value = np.full(len(name), 2**64 - 1, U)
@@ -69,14 +69,14 @@ def word_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, .
     window = np.arange(len(words) - width + 1)
     window = window[doc[window] == doc[window + width - 1]]
     if not len(window):
-        return (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2)
+        return (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2, np.zeros(0, np.int64))
     chosen = sliding_least(value, reach)[window + front]
     new = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (window[1:] != window[:-1] + 1))))
     lo, last = window[new], window[np.append(new[1:], len(window)) - 1]
     end, anchor = last + width, chosen[new]
     first = np.searchsorted(doc, doc[lo], "left")
     s1 = spans.hash(lo, end, 0) ^ mix((anchor - lo).astype(U))
-    return doc[lo], name[anchor], lo - first, last - lo + 1, s1, spans.hash(lo, end, 1)
+    return doc[lo], name[anchor], lo - first, last - lo + 1, s1, spans.hash(lo, end, 1), anchor - first
 
 
 def word_spans(text: bytes) -> Spans:

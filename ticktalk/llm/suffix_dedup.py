@@ -57,12 +57,12 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD1342543DE82EF95))
 
 
 def byte_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(text, block, first window, windows, two hashes) of each segment. A text is cut into phrases at the bytes whose next
+    """(text, block, first window, windows, two hashes, phrase's place) of each segment. A text is cut into phrases at the bytes whose next
     GRAM bytes have the least hash among some GAP neighbours. A window chooses the phrase of least name among those that begin
     GAP - 1 bytes or more, and less than GAP - 1 + REACH, after its start. Its name is the phrase's block, and the bytes that all windows
     have which can choose it."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    empty = (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2)
+    empty = (np.zeros(0, np.int64), np.zeros(0, U), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, U),) * 2, np.zeros(0, np.int64))
     if not (sizes >= width).any():
         return empty
     long = np.flatnonzero(sizes >= width)
@@ -98,7 +98,7 @@ def byte_segments(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, .
     s1 = spans.hash(lo, hi + width, 0) ^ mix((cuts[at] - lo).astype(U))
     core = cuts[at] - (GAP - 1)
     name = mix(block[at]) ^ spans.hash(core, core + width - REACH + 1)
-    return long[text], name, lo - begins[text], hi - lo + 1, s1, spans.hash(lo, hi + width, 1)
+    return long[text], name, lo - begins[text], hi - lo + 1, s1, spans.hash(lo, hi + width, 1), cuts[at] - begins[text]
 
 
 def byte_spans(text: bytes) -> Spans:
