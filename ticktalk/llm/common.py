@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticktalk.session import settle
+
 #: White space that separates words: the ASCII blanks. ``bytes.split()`` uses the same set.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -41,7 +43,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def may_meet(df: DataFrame, needed: DataFrame, key: Column, slots: int = 1 << 18) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be one of ``needed``: both are hashed to ``slots`` numbers, and those in use are broadcast,
+    at most ``slots`` integers whatever the data. The join that follows then moves few other rows."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("_slot")
+    used = settle(needed.select(slot).distinct().coalesce(1), "slots")
+    return df.withColumn("_slot", slot).join(F.broadcast(used), "_slot", "left_semi").drop("_slot")
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches with about ``limit`` bytes of ``column`` each, one row at least. All rows pass, in order."""
     for batch in batches:
         if not batch.num_rows:

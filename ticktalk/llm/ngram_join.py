@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticktalk.llm.common import pieces, query, table, text_bytes
+from ticktalk.llm.common import may_meet, pieces, query, table, text_bytes
 from ticktalk.llm.exact_dedup import content_hash, squeezed
 from ticktalk.llm.links import components, linked
 from ticktalk.session import settle
 
-N, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.9999, 5
+#: Words of a gram, least similarity, share of the pairs at that similarity that meet in a band, hashes of a band.
+N, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.999, 8
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -106,7 +107,7 @@ def ngram_classes(
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("text")).withColumn("fp", content_hash(F.col("text")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1_000_000):
             found = signatures(text_bytes(batch.column("text")), n, bands, rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fp"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "fp", "bands"])
 
@@ -119,26 +120,29 @@ def ngram_classes(
         pairs = settle(pairs, "ngram-pairs")
         need = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(copies.select("fp", "rep"), "fp")
         need = settle(need.withColumnRenamed("fp", "need"), "ngram-need")
-        texts = settle(named.join(need, (named.fp == need.need) & named.doc_id.eqNullSafe(need.rep)).select("fp", "text"), "ngram-texts")
+        some = may_meet(named, need.withColumnRenamed("need", "fp"), F.col("fp"))
+        texts = settle(some.join(need, (some.fp == need.need) & some.doc_id.eqNullSafe(need.rep)).select("fp", "text"), "ngram-texts")
         paired = pairs.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
         paired = paired.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, kept = None, set()
             for batch in batches:
-                ok = []
+                ok, gap = [], []
                 for x, y in zip(batch.column("text_a"), batch.column("text_b")):
                     x, y = x.as_py(), y.as_py()
                     if x != last:
                         last, kept = x, grams_of(x, n)
                     other = grams_of(y, n)
                     common = len(kept & other)
-                    ok.append(common >= similarity * (len(kept) + len(other) - common))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+                    every = len(kept) + len(other) - common
+                    ok.append(common >= similarity * every)
+                    gap.append(1 - common / every)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_()), pa.array(gap, pa.float64())], ["a", "b", "ok", "gap"])
 
-        return paired.mapInArrow(compare, "a binary, b binary, ok boolean")
+        return paired.mapInArrow(compare, "a binary, b binary, ok boolean, gap double")
 
-    links = settle(linked(buckets, verify).distinct(), "ngram-links")
+    links = settle(linked(buckets, verify, reach=1 - similarity).distinct(), "ngram-links")
     degree = links.select(F.col("a").alias("fp")).union(links.select("b")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(links).select(F.col("id").alias("fp"), "root")
     texts = copies.join(roots, "fp", "left").join(degree, "fp", "left").withColumn("root", F.coalesce("root", "fp"))

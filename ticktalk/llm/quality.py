@@ -113,7 +113,7 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
     return out | {"n_lines": np.array(lines, np.int64), "n_dup_lines": np.array(again, np.int64), "line_bytes": np.array(line_chars, np.int64), "dup_line_bytes": np.array(again_chars, np.int64)}
 
 
-def _rows(batches: Iterator[pa.RecordBatch], limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     lengths = tuple(NGRAM_LIMITS)
     for batch in pieces(batches, "text", limit):
         m = measure(text_bytes(batch.column("text")), lengths)
@@ -131,7 +131,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per document: its id, the base counts, characters in repeated n-grams by n, bytes in repeated lines, and
     ``kept``, false if the base rules or one of the limits on repetition fail.
 
-    One narrow pass; a task holds about 4 MB of texts besides Spark's Arrow batch, or one text. Null and empty texts have no
+    One narrow pass; a task holds about 2 MB of texts besides Spark's Arrow batch, or one text. Null and empty texts have no
     words and fail the base rule. Rows are judged alone, so repeated rows and ids repeat their result. Other columns are
     ignored. Empty table: no rows.
     """
