@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticktalk.llm.common import query, table
+from ticktalk.session import settle
 
 #: Fixed values: (action, host and path prefix).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -93,10 +94,17 @@ def buckets(host: str, path: str, segmenter: Segmenter) -> list[int]:
 
 
 def word_counts(texts: DataFrame, column: str, most: int = VOCABULARY) -> dict[str, int]:
-    """The ``most`` frequent lower-case words of all texts, counted over all rows."""
+    """The frequent lower-case words of all texts, counted over all rows: at most ``most``, words of equal count together."""
     words = texts.select(F.explode(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), "[^a-z]+")).alias("word")).where("word <> ''")
-    top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return {r["word"]: r["n"] for r in top.collect()}
+    counts = settle(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    # The least count that leaves few enough words, from the number of words of each count.
+    least, total = 0, 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        total += r["words"]
+        if total > most:
+            break
+        least = r["n"]
+    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= least).collect()} if least else {}
 
 
 def learn(rows: DataFrame, words: dict[str, int], smoothing: float = 1.0) -> tuple[np.ndarray, float]:
