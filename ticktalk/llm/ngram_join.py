@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,8 @@ from ticktalk.session import settle
 
 #: Words of a gram, least similarity, share of the pairs at that similarity that meet in a band, hashes of a band.
 N, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.999, 8
+#: Bits of each MinHash that are compared before texts are.
+PLANES = 4
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -47,8 +51,15 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return start, _mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 
+def most_differences(similarity: float, hashes: int, recall: float) -> int:
+    """Most of ``hashes`` MinHashes, of which ``PLANES`` bits are kept, in which a pair of this similarity differs, with probability ``recall``."""
+    differ = (1 - similarity) * (1 - 0.5**PLANES)
+    return math.ceil(hashes * differ + NormalDist().inv_cdf(recall) * math.sqrt(hashes * differ * (1 - differ)))
+
+
 def signatures(texts: list[bytes], n: int, bands: int, rows: int) -> list[np.ndarray | None]:
-    """Band hashes of each text's word n-grams; a text of fewer words is one gram; a text without words has none."""
+    """Of each text's word n-grams, the band hashes and behind them ``PLANES`` bits of each MinHash, as so many rows of bits, in 64-bit
+    numbers; a text of fewer words is one gram; a text without words has none."""
     sizes = np.array([len(t) for t in texts], np.int64)
     start, word = word_hashes(b"\n".join(texts))
     ends = np.cumsum(sizes + 1)
@@ -74,11 +85,17 @@ def signatures(texts: list[bytes], n: int, bands: int, rows: int) -> list[np.nda
     first = np.flatnonzero(np.diff(np.concatenate(([-1], owner))))
     factors = _mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
     keys = np.empty((len(first), bands), np.uint64)
+    bits = np.zeros((len(first), PLANES, -(-bands * rows // 64) * 64), np.uint8)
     for b in range(bands):
         key = np.full(len(first), b + 1, np.uint64)
         for r in range(rows):
-            key = _mix(key * np.uint64(31) + np.minimum.reduceat(grams * factors[b * rows + r], first))
+            least = np.minimum.reduceat(grams * factors[b * rows + r], first)
+            key = _mix(key * np.uint64(31) + least)
+            mixed = _mix(least)
+            for plane in range(PLANES):
+                bits[:, plane, b * rows + r] = mixed >> np.uint64(plane) & np.uint64(1)
         keys[:, b] = key
+    keys = np.concatenate((keys, np.packbits(bits.reshape(len(first), -1), axis=1).view(np.uint64)), axis=1)
     for row, d in zip(keys.view(np.int64), owner[first]):
         out[d] = row
     return out
@@ -97,7 +114,8 @@ def ngram_classes(
     Two different texts are linked if the Jaccard similarity of their sets of word ``n``-grams reaches ``similarity``. Texts with
     the same words are copies and stand as one from the start, so a group of copies adds one text. Candidates share one of the
     MinHash bands, as many as ``recall`` needs at the threshold; within a band's bucket, texts are compared with a leader, and
-    those that fail with the other members (see ``linked``), on full sets. ``n_links``: the verified links that hold the text in its
+    those that fail with the other members (see ``linked``), on full sets; the last of these meet only if ``PLANES`` bits
+    of each MinHash leave the threshold likely, again with ``recall`` at the threshold (``most_differences``). ``n_links``: the verified links that hold the text in its
     class; ``n_copies``: rows with the same words. ``class_id``: smallest id of the class.
 
     Fewer than n words: all of them are one gram. Null, empty and blank texts: copies of each other, linked to nothing else. Null ids: rows
@@ -114,7 +132,17 @@ def ngram_classes(
     signed = settle(named.select("doc_id", "fp", "text").mapInArrow(sign, "doc_id long, fp binary, bands array<long>"), "ngram-signatures")
     copies = settle(signed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies")), "ngram-copies")
     one = signed.join(copies.select("fp", "rep"), (signed.fp == copies.fp) & signed.doc_id.eqNullSafe(copies.rep)).select(signed.fp, "bands")
-    buckets = one.select(F.explode("bands").alias("key"), F.col("fp").alias("id")).distinct()
+    buckets = one.select(F.explode(F.slice("bands", 1, bands)).alias("key"), F.col("fp").alias("id")).distinct()
+    words_of_bits = -(-bands * rows // 64)
+    sketches = one.where("bands IS NOT NULL").select(F.col("fp").alias("id"), F.slice("bands", bands + 1, PLANES * words_of_bits).alias("sketch")).dropDuplicates(["id"])
+    most = most_differences(similarity, bands * rows, recall)
+
+    def near(a: Column, b: Column) -> Column:
+        def differ(i: int) -> Column:
+            planes = [a[i + k * words_of_bits].bitwiseXOR(b[i + k * words_of_bits]) for k in range(PLANES)]
+            return F.bit_count(reduce(Column.bitwiseOR, planes))
+
+        return reduce(Column.__add__, [differ(i) for i in range(words_of_bits)]) <= most
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = settle(pairs, "ngram-pairs")
@@ -142,7 +170,7 @@ def ngram_classes(
 
         return paired.mapInArrow(compare, "a binary, b binary, ok boolean, gap double")
 
-    links = settle(linked(buckets, verify, reach=1 - similarity).distinct(), "ngram-links")
+    links = settle(linked(buckets, verify, near, 1 - similarity, sketches).distinct(), "ngram-links")
     degree = links.select(F.col("a").alias("fp")).union(links.select("b")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(links).select(F.col("id").alias("fp"), "root")
     texts = copies.join(roots, "fp", "left").join(degree, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
