@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ticktalk.catalog.order_queries import NEAREST
 from ticktalk.catalog.registry import query, table
@@ -107,11 +107,11 @@ def lines_roundtrip(spark, d):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-@query("SELECT source || ': ' || doc_id AS \"Message\" FROM documents")
+@query('SELECT text AS "Message" FROM documents')
 def message_csv_roundtrip(spark, d):
     path = scratch_path(spark, "messages")
-    out.write_message_csv(table(spark, d, "documents").select(F.concat("source", F.lit(": "), "doc_id").alias("m")), "m", path)
-    return source.read_csv_table(spark, path, spark.createDataFrame([], "Message string").schema)
+    out.write_message_csv(table(spark, d, "documents"), "text", path)
+    return source.read_csv_table(spark, path, T.StructType().add("Message", "string"), multi_line=True)
 
 
 @query("SELECT s_name AS name, CAST(s_suppkey AS VARCHAR) AS channel_id FROM supplier WHERE s_nationkey <> 3")

@@ -21,14 +21,22 @@ _TIMES = (T.TimestampType, T.TimestampNTZType)
 _SEARCHABLE = (*_TIMES, T.LongType, T.IntegerType, T.DoubleType)
 
 
+def _timed(df: DataFrame, on: str) -> Column:
+    """Whether a row has a time: neither NULL nor NaN."""
+    there = F.col(on).isNotNull()
+    return there & ~F.isnan(on) if isinstance(df.schema[on].dataType, T.FractionalType) else there
+
+
 def split_untimed(df: DataFrame, on: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """(rows with a time, rows without)."""
-    return df.where(F.col(on).isNotNull()), df.where(F.col(on).isNull())
+    return df.where(_timed(df, on)), df.where(~_timed(df, on))
 
 
 def _distance(dtype: T.DataType, later: Column, earlier: Column) -> Column:
     if isinstance(dtype, _TIMES):
         return F.timestamp_diff("MICROSECOND", earlier, later)
+    if isinstance(dtype, T.IntegralType):  # the ends of the axis may be further apart than its type can tell
+        return later.cast("decimal(20,0)") - earlier.cast("decimal(20,0)")
     return later - earlier
 
 
@@ -55,7 +63,12 @@ def _search(chosen: DataFrame, kept: list[str], direction: str):
 
     # Nested, so that it travels with the function and executors need no copy of this package.
     def numbers(times: pa.Array) -> np.ndarray:
-        return (times.cast(pa.int64()) if pa.types.is_timestamp(times.type) else times).to_numpy(zero_copy_only=False)
+        whole = pa.types.is_timestamp(times.type) or pa.types.is_integer(times.type)
+        return (times.cast(pa.int64()) if whole else times).to_numpy(zero_copy_only=False)
+
+    def gap(later: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        # Differences of 64-bit numbers fit without a sign.
+        return later.view(np.uint64) - earlier.view(np.uint64) if later.dtype == np.int64 else later - earlier
 
     axis = numbers(table.column("at").combine_chunks())
 
@@ -69,7 +82,7 @@ def _search(chosen: DataFrame, kept: list[str], direction: str):
             place = beyond
         else:
             last = len(axis) - 1
-            nearer = wanted - axis[np.maximum(behind, 0)] <= axis[np.minimum(beyond, last)] - wanted
+            nearer = gap(wanted, axis[np.maximum(behind, 0)]) <= gap(axis[np.minimum(beyond, last)], wanted)
             place = np.where((beyond > last) | ((behind >= 0) & nearer), behind, beyond)
         place = pa.array(place, pa.int64(), mask=(place < 0) | (place >= len(axis)))
         return pa.StructArray.from_arrays([c.take(place) for c in columns], kind.names)
@@ -96,7 +109,7 @@ def asof_join(
     ``direction`` is ``backward`` (at or before), ``forward`` (at or after), or ``nearest``; of two equally near quotes
     the earlier one wins. Among quotes of the same time the last one by ``quote_tie`` is met going backward, and the
     first one going forward. ``tolerance`` is in seconds for timestamps, else in units of ``on``. ``quote_time`` names
-    an extra column with the time of the quote. Rows of ``left`` without a time are left out: see ``split_untimed``.
+    an extra column with the time of the quote. Rows without a time, NaN included, are left out on both sides: see ``split_untimed``.
 
     Quotes without groups that counting shows to be few (``small_rows``) go to every task, and ``left`` is not
     shuffled. Else both sides are laid out in one order and cut into runs; a run takes the last quote before it and the
@@ -113,17 +126,17 @@ def asof_join(
         raise ValueError(f"both sides have {sorted(clash)}")
 
     if not by and isinstance(dtype, _SEARCHABLE):
-        chosen = quotes.where(F.col(on).isNotNull()).select(F.col(on).cast(dtype).alias("at"), (F.col(quote_tie) if quote_tie else F.lit(0)).alias("tie"), *kept)
+        chosen = quotes.where(_timed(quotes, on)).select(F.col(on).cast(dtype).alias("at"), (F.col(quote_tie) if quote_tie else F.lit(0)).alias("tie"), *kept)
         rows, size = measured(chosen, small_rows)
         if rows <= small_rows and size <= SMALL_BYTES:
-            found = left.where(F.col(on).isNotNull()).withColumn("__match", _search(chosen, kept, direction)(F.col(on)))
+            found = left.where(_timed(left, on)).withColumn("__match", _search(chosen, kept, direction)(F.col(on)))
             return _pick(found, left.columns, kept, on, dtype, tolerance, quote_time)
 
     # At the same time quotes come before messages, so that they count as "at or before" - unless only later ones count.
     quote_side = 1 if direction == "forward" else 0
     tie = F.col(left_tie).cast("string") if left_tie else F.lit(None).cast("string")
-    rows = left.where(F.col(on).isNotNull()).withColumns({_SIDE: F.lit(1 - quote_side), "__left_tie": tie})
-    quote_rows = quotes.where(F.col(on).isNotNull()).select(
+    rows = left.where(_timed(left, on)).withColumns({_SIDE: F.lit(1 - quote_side), "__left_tie": tie})
+    quote_rows = quotes.where(_timed(quotes, on)).select(
         *by,
         F.col(on).cast(dtype).alias(on),
         (F.col(quote_tie) if quote_tie else F.lit(0)).alias(_TIE),

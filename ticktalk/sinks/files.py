@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticktalk.functions.messages import shard_of
 from ticktalk.functions.times import HOUR_PARTS, path_parts, with_hour_parts
+from ticktalk.sources.files import CSV
 from ticktalk.streaming.windows import window_start
 
 # Folders of landed messages. Minute and shard stay columns: a folder for each would make files of a few rows, and
@@ -44,6 +45,7 @@ def write_shards(
     shards: int = 3,
     folders: tuple[str, ...] = HOUR_FOLDERS,
     checkpoint: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery | None:
     """JSON lines with the window and shard of every message, without the publish time. Streams are written as they
     come: the window is a plain column, so that no late row is dropped and no window is gathered in memory."""
@@ -52,7 +54,7 @@ def write_shards(
         _replace_partitions(laid_out, *folders).options(**JSON_TIMES).json(path)
         return None
     writer = laid_out.writeStream.partitionBy(*folders).format("json").options(**JSON_TIMES).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start(path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
 def write_hourly_parquet(df: DataFrame, path: str, source: str, ts: str = "timestamp") -> None:
@@ -69,7 +71,8 @@ def write_snapshot(df: DataFrame, path: str, taken_at: Column | None = None) ->
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """All values quoted; null is ``\\N``, so only a text of these two characters comes back changed."""
+    df.write.mode("overwrite").options(**CSV).option("quoteAll", True).option("lineSep", "\n").csv(path)
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:

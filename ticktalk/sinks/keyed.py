@@ -24,25 +24,36 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _bucket_count(spark: SparkSession, path: str, asked: int) -> int:
+    """The number of buckets kept beside the table's rows, where readers do not look; ``asked`` for a new table."""
+    kept = f"{path}/_buckets"
+    try:
+        return int(spark.read.text(kept).first()[0])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.range(1).select(F.lit(str(asked)).alias("buckets")).coalesce(1).write.text(kept)
+    return asked
+
+
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS) -> None:
     """Replace or add the rows of ``batch``; of equal keys within it the last by ``order`` counts.
 
+    A table keeps the number of buckets it was made with, whatever ``buckets`` says later.
     Only key buckets with new rows are rewritten. Both the batch and the merged buckets are written aside first, so
-    the table is never read by the job that replaces it, and a repeated batch leaves the same table.
+    the table is never read by the job that replaces it, and a repeated batch leaves the same table. If writing fails, what was written aside stays: it may be the only whole copy.
     """
     spark, keys = batch.sparkSession, list(keys)
+    buckets = _bucket_count(spark, path, buckets)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     aside = [scratch_path(spark, label) for label in ("upsert-new", "upsert-merged")]
-    try:
-        new = settle(latest_per_key(batch, keys, order).withColumn(BUCKET, bucket), path=aside[0])
-        touched = [row[BUCKET] for row in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
-        if not touched:
-            return
+    new = settle(latest_per_key(batch, keys, order).withColumn(BUCKET, bucket), path=aside[0])
+    touched = [row[BUCKET] for row in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+    if touched:
         ready = new
         if read_keyed(spark, path) is not None:
             old = spark.read.schema(new.schema).parquet(path).where(F.col(BUCKET).isin(touched))
             ready = settle(new.unionByName(old.join(new.select(*keys), keys, "left_anti")), path=aside[1])
         writer = ready.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    finally:
-        discard(spark, *aside)
+    discard(spark, *aside)

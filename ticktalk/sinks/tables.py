@@ -15,14 +15,14 @@ def create_tables(spark: SparkSession, database: str, tables: dict[str, T.Struct
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
 
 
-def append_typed(df: DataFrame, table: str, schema: T.StructType, checkpoint: str | None = None) -> StreamingQuery | None:
+def append_typed(df: DataFrame, table: str, schema: T.StructType, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery | None:
     """Append in the declared columns and types; the table is made if missing, and a row that does not fit fails."""
     typed = df.to(schema)
     if not df.isStreaming:
         typed.write.mode("append").format("parquet").saveAsTable(table)
         return None
     writer = typed.writeStream.option("checkpointLocation", checkpoint).format("parquet")
-    return writer.trigger(availableNow=True).toTable(table)
+    return writer.trigger(**(trigger or {"availableNow": True})).toTable(table)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:

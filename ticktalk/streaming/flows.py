@@ -42,8 +42,11 @@ def parse_quotes(payloads: DataFrame, now: Column | None = None, mode: str = "fa
     return wire.withColumns({"price": price_of("price"), "timestamp": ingest_time() if now is None else now})
 
 
-def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str) -> StreamingQuery:
-    """Send every micro-batch to all sinks. The batch is computed once; sinks get its id to make replays harmless."""
+def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Send every micro-batch to all sinks. The batch is computed once; sinks get its id to make replays harmless.
+
+    ``trigger`` holds the arguments of Spark's trigger, such as ``{"processingTime": "1 minute"}`` for a query without end; by default
+    what is there is taken once."""
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -54,7 +57,7 @@ def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str) -> Strea
             batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def message_sinks(root: str, minutes: float = 1.0, shards: int = 3) -> dict[str, Sink]:
