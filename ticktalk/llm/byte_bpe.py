@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -219,8 +220,9 @@ class Codec:
             return [b""] * len(texts)
         starts = np.cumsum(sizes) - sizes
         begins = np.flatnonzero(boundaries(self.kinds[codes], starts[sizes > 0], self.monoid))
-        width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
-        offset = np.concatenate(([0], np.cumsum(width)))
+        width = np.add(codes >= 0x80, codes >= 0x800, dtype=np.uint8) + (codes >= 0x10000) + np.uint8(1)
+        offset = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(width, dtype=np.int64, out=offset[1:])
         data = joined.encode()
         cuts = np.append(offset[begins], len(data)).tolist()
         upto = np.searchsorted(begins, np.append(starts, len(codes))).tolist()
@@ -248,11 +250,16 @@ def worker_codec(rank_file: bytes) -> Codec:
 
 
 def _each(batches: Iterator[pa.RecordBatch], codec: Codec):
-    for batch in pieces(batches, "text", 2_000_000):
+    for batch in pieces(batches, "text", 1_000_000):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         yield batch, codec.encode(texts)
 
 
+def _lists(encoded: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // 4 for x in encoded])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<i4"), pa.int32()))
+
+
 def encode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, offsets``: ids of each whole text, and the byte offsets of its tokens (one more than ids).
 
@@ -263,26 +270,49 @@ def encode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(rank_file)
         for batch, encoded in _each(batches, codec):
-            ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in encoded]
             offsets = [codec.offsets(x) for x in encoded]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(encoded), pa.array(offsets, pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows_in.mapInArrow(rows, "doc_id long, ids array<int>, offsets array<long>")
 
 
-def decode(encoded: DataFrame, rank_file: bytes) -> DataFrame:
-    """``doc_id, ids, data``: the bytes of the ids. Null ids: none."""
+def decode(encoded: DataFrame, rank_file: bytes, most: int = 500_000) -> DataFrame:
+    """``doc_id, ids, data``: the bytes of the ids. Null ids: none.
+
+    Bytes are looked up in an Arrow column of all tokens, for rows of about ``most`` ids at once, one row at least."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {i: b for b, i in read_ranks(rank_file).items()}
+        known = {i: b for b, i in read_ranks(rank_file).items()}
+        tokens = pa.array([known.get(i) for i in range(max(known) + 1)], pa.binary())
         for batch in batches:
-            data = [b"".join(map(tokens.__getitem__, x or ())) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(data, pa.binary())], ["doc_id", "ids", "data"])
+            lengths = pa.compute.fill_null(pa.compute.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+            begun = (np.cumsum(lengths) - lengths) // most
+            edges = [0, *(np.flatnonzero(np.diff(begun)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                part = batch.slice(a, b - a)
+                ends = np.concatenate(([0], np.cumsum(lengths[a:b])))
+                found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens.take(pa.compute.list_flatten(part.column("ids"))))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.compute.binary_join(found, pa.scalar(b"", pa.binary()))], ["doc_id", "ids", "data"])
 
     return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids array<int>, data binary")
 
 
+def round_trip(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, n_tokens, decoded_sha256``: as ``encode``, then ``decode`` within the task, so that ids are moved once
+    and one Python worker serves a task. Nulls, long texts, repeated rows and other columns as in ``encode``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = worker_codec(rank_file)
+        for batch, encoded in _each(batches, codec):
+            back = [hashlib.sha256(codec.decode(x)).hexdigest() for x in encoded]
+            n = pa.array([len(x) // 4 for x in encoded], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(encoded), n, pa.array(back, pa.string())], ["doc_id", "ids", "n_tokens", "decoded_sha256"])
+
+    rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows_in.mapInArrow(rows, "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string")
+
+
 def digests(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encoding and decoding in one pass, without moving the ids."""
 
