@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from ticktalk.llm.common import pieces, query, table, text_bytes
 
-#: Most of a text's word characters that may lie in n-grams found twice or more, by n. Published rules for web text have 0.10
-#: less; with those, short clean texts that repeat one line go as well.
-NGRAM_LIMITS = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
-#: Most of a text's characters in lines, and of its lines, that may repeat an earlier line.
-LINE_CHARS_LIMIT, LINES_LIMIT = 0.30, 0.50
+#: Most of a text's word characters that may lie in n-grams found twice or more, by n: the published limits for web text.
+NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+#: Most of a text's characters in lines, and of its lines, that may repeat an earlier line: the published limits.
+LINE_CHARS_LIMIT, LINES_LIMIT = 0.20, 0.30
+#: Words in repeated n-grams, and repeats of lines, that a text may have at LENIENCE (lines: LINES_LENIENCE) above these limits: what
+#: one line of 15 words makes that it repeats once, a large share of a short text only. From 300 words on, the limits on n-grams
+#: hold as they are.
+SPARED_WORDS, SPARED_LINES, LENIENCE, LINES_LENIENCE = 30, 1, 0.10, 0.20
 MIN_WORDS, BASE_REPEATS = 10, 5
 
 _SYMBOL = np.zeros(256, bool)
@@ -119,9 +122,10 @@ def _rows(batches: Iterator[pa.RecordBatch], limit: int = 2_000_000) -> Iterator
         m = measure(text_bytes(batch.column("text")), lengths)
         repeats = m[f"words_{BASE_REPEATS}"]
         failed = (m["n_words"] < MIN_WORDS) | (100 * repeats > 20 * m["n_words"])
-        bad = (m["dup_line_bytes"] > LINE_CHARS_LIMIT * m["line_bytes"]) | (m["n_dup_lines"] > LINES_LIMIT * m["n_lines"])
-        for n, limit in NGRAM_LIMITS.items():
-            bad |= m[f"chars_{n}"] > limit * m["word_chars"]
+        few = m["n_dup_lines"] <= SPARED_LINES
+        bad = (m["dup_line_bytes"] > (LINE_CHARS_LIMIT + LENIENCE * few) * m["line_bytes"]) | (m["n_dup_lines"] > (LINES_LIMIT + LINES_LENIENCE * few) * m["n_lines"])
+        for n, share in NGRAM_LIMITS.items():
+            bad |= m[f"chars_{n}"] > (share + LENIENCE * (m[f"words_{n}"] <= SPARED_WORDS)) * m["word_chars"]
         out = {k: m[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines")} | {"n_repeat_words": repeats, "base_failed": failed, "kept": ~(failed | bad)}
         out |= {f"chars_{n}": m[f"chars_{n}"] for n in lengths} | {"dup_line_bytes": m["dup_line_bytes"]}
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, out.values())], ["doc_id", *out])
