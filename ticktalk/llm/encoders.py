@@ -42,6 +42,15 @@ def stretches(text: str) -> list[str]:
     return text[1:].split(" ")
 
 
+def headed(text: str) -> list[str | tuple[str]]:
+    """The same for a text that is taken as it is: its first stretch, in a tuple, has no space in front."""
+    if _RUN_OF_BLANKS.search(text):
+        first, *rest = _SAFE_CUT.split(text)
+        return [(first,), *[part[1:] for part in rest]]
+    first, *rest = text.split(" ")
+    return [(first,), *rest]
+
+
 class _Numbers(dict):
     """Numbers for stretches in the order they are first met; new ones are listed in ``fresh``."""
 
@@ -87,15 +96,16 @@ class StretchEncoder:
         self.numbers, self.chars = _Numbers(), 0
         self.lists = [Ragged() for _ in self.encoders]
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each tokenizer the ids of all texts end to end, and how many each text has. Texts begin with a space."""
+    def encode(self, texts: list[str], cut: Callable = stretches) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each tokenizer the ids of all texts end to end, and how many each text has. Texts begin with a space, unless ``cut`` is
+        ``headed``."""
         if self.chars > _MOST_CHARS or any(len(kept.ids) > _MOST_IDS for kept in self.lists):
             self._forget()
-        parts = [stretches(text) for text in texts]
+        parts = [cut(text) for text in texts]
         found = np.fromiter((n for part in parts for n in map(self.numbers.__getitem__, part)), np.int64)
         fresh = self.numbers.fresh
         if fresh:
-            whole = [" " + part for part in fresh]
+            whole = [" " + part if isinstance(part, str) else part[0] for part in fresh]
             for encoder, kept in zip(self.encoders, self.lists):
                 kept.add(encoder(whole))
             self.chars += sum(map(len, whole))
