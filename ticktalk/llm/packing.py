@@ -263,7 +263,7 @@ def _cut(file: bytes, capacity: int, end: int):
             begin = ((np.cumsum(sizes) - sizes)[row] + start) * 4
             data = memoryview(ids.tobytes())
             crc = [zlib.crc32(data[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist())]
-            columns = [batch.column("doc_id").take(pa.array(row)), *[pa.array(x, pa.int64()) for x in (piece, start, length, crc)]]
+            columns = [batch.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
             stamp = pa.array(np.full(len(row), secrets.randbits(62)), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "stamp", "row"]
             yield pa.RecordBatch.from_arrays([*columns, stamp, pa.array(np.arange(len(row)), pa.int64())], names)
