@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import sys
 import types
@@ -10,8 +11,9 @@ from collections.abc import Callable
 
 import numpy as np
 
-# A space whose neighbour is white space too: cutting in front of it could split a run of blanks that is one token.
-_RUN_OF_BLANKS = re.compile(r"\s \s|  ")
+# A space before white space: cutting at every space could split a run of blanks that is one token.
+_WHITE = [chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_SPACE_AND_WHITE = [" " + c for c in _WHITE]
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 _MOST_IDS = 2_000_000
 _MOST_CHARS = 16_000_000
@@ -31,20 +33,24 @@ def tokenizer_file(name: str, folder: str | None = None) -> bytes:
         return file.read()
 
 
+def _has_runs(text: str) -> bool:
+    return any(pair in text for pair in _SPACE_AND_WHITE)
+
+
 def stretches(text: str) -> list[str]:
     """Cut a text that begins with a space into stretches that do too, given without that space.
 
     No token of the byte-level or of the piece vocabulary holds a blank after another sign, and what is cut off on one side
     does not change the tokens of the other, so stretches can be encoded one by one.
     """
-    if _RUN_OF_BLANKS.search(text):
+    if _has_runs(text):
         return [part[1:] for part in _SAFE_CUT.split(text)]
     return text[1:].split(" ")
 
 
 def headed(text: str) -> list[str | tuple[str]]:
     """The same for a text that is taken as it is: its first stretch, in a tuple, has no space in front."""
-    if _RUN_OF_BLANKS.search(text):
+    if _has_runs(text):
         first, *rest = _SAFE_CUT.split(text)
         return [(first,), *[part[1:] for part in rest]]
     first, *rest = text.split(" ")
@@ -127,10 +133,32 @@ def byte_level(file: bytes, plain_specials: bool = True) -> tuple[Encode, list[b
     tokenizer.encode_special_tokens = plain_specials
     byte_of = printable_bytes()
     names = [tokenizer.id_to_token(i) or "" for i in range(max(tokenizer.get_vocab().values()) + 1)]
-    return (
-        lambda texts: [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)],
-        [bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode() for name in names],
-    )
+    data = [bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode() for name in names]
+    if plain_specials and (fast := _by_ranks(json.loads(file), data)):
+        return fast, data
+    return lambda texts: [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)], data
+
+
+#: Fixed value: how the byte-level split cuts text when its own pattern is used.
+_BYTE_LEVEL_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _by_ranks(spec: dict, data: list[bytes]) -> Encode | None:
+    """The same ids by the rank encoder, which is several times as fast on text it has not met, if the file allows: byte-level split
+    without prefix or normaliser, and merges in the order of their ids."""
+    model, split = spec["model"], spec["pre_tokenizer"]
+    if spec.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return None
+    vocabulary = model["vocab"]
+    merged = [vocabulary["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    plain = {x for x in vocabulary.values() if len(data[x]) == 1}
+    if merged != sorted(merged) or len(plain) != 256 or max(plain) > merged[0] or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    import tiktoken
+
+    ranks = {data[i]: i for i in sorted(plain | set(merged))}
+    encoding = tiktoken.Encoding("by-ranks", pat_str=_BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [encoding.encode_ordinary(text) for text in texts]
 
 
 def printable_bytes() -> dict[str, int]:

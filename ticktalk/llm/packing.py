@@ -20,7 +20,7 @@ CAPACITY = 2048
 END = 0  # id after each document
 GROUPS = (128, 512)  # numbers of groups of equal cardinality; the plan with fewer sequences counts
 SMALL = 8  # a piece of at most 1 / SMALL of a sequence is small
-RANKED = 200_000  # rows of one length that are numbered in one task
+RANKED = 50_000  # rows of one length that are numbered in one task
 TEXT_BYTES = 1_000_000
 
 
