@@ -131,7 +131,7 @@ def keyed_upsert(spark, d):
     events = _events(spark, d)
     first = F.col("event_type").isin("purchase", "view")
     for batch in (events.where(first), events.where(~first)):  # the second write wins, whatever its times
-        upsert(batch, path, ["user_id"], ["ts", "event_id"], buckets=16)
+        upsert(batch, path, ["user_id"], ["ts", "event_id"])
     return read_keyed(spark, path).select("event_id", "user_id", "event_type", "value", "ts")
 
 

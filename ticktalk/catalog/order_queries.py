@@ -37,9 +37,9 @@ def sides(spark, d):
 
 
 @query(f"WITH {NEAREST} SELECT event_id, ts, CAST(quote_id AS DOUBLE) AS quote_id, price, quote_ts FROM nearest")
-def asof_nearest(spark, d):
+def asof_nearest(spark, d, **size):
     messages, quotes = sides(spark, d)
-    return _with_double_id(asof_join(messages.drop("user_id"), quotes.drop("user_id"), "ts", "event_id", "quote_id", quote_time="quote_ts"))
+    return _with_double_id(asof_join(messages.drop("user_id"), quotes.drop("user_id"), "ts", "event_id", "quote_id", quote_time="quote_ts", **size))
 
 
 @query(f"""
@@ -48,17 +48,17 @@ def asof_nearest(spark, d):
            CAST(CASE WHEN m.ts - quote_ts <= INTERVAL 2 DAYS THEN quote_id END AS DOUBLE) AS quote_id,
            CASE WHEN m.ts - quote_ts <= INTERVAL 2 DAYS THEN price END AS price
     FROM m ASOF LEFT JOIN q ON m.user_id = q.q_user AND m.ts >= q.quote_ts""")
-def asof_backward_by_user(spark, d):
+def asof_backward_by_user(spark, d, **size):
     messages, quotes = sides(spark, d)
-    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="backward", tolerance=2 * 86400))
+    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="backward", tolerance=2 * 86400, **size))
 
 
 @query(f"""
     WITH {ASOF}
     SELECT m.event_id, m.user_id, m.ts, CAST(quote_id AS DOUBLE) AS quote_id, price FROM m ASOF LEFT JOIN q ON m.user_id = q.q_user AND m.ts <= q.quote_ts""")
-def asof_forward_by_user(spark, d):
+def asof_forward_by_user(spark, d, **size):
     messages, quotes = sides(spark, d)
-    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="forward"))
+    return _with_double_id(asof_join(messages, quotes, "ts", "event_id", "quote_id", by=["user_id"], direction="forward", **size))
 
 
 def _rounded_changes(df):
@@ -66,8 +66,8 @@ def _rounded_changes(df):
 
 
 @query(f"WITH {CHANGES} SELECT event_id, round(gap_s, 6) AS gap_s, round(price_change, 6) AS price_change FROM changes")
-def gap_change(spark, d):
-    return _rounded_changes(quote_changes(spark, d))
+def gap_change(spark, d, **size):
+    return _rounded_changes(quote_changes(spark, d, **size))
 
 
 @query(f"""
@@ -83,9 +83,9 @@ def nonzero_changes(spark, d):
            CASE WHEN count(price_change) OVER w = 4 THEN round(avg(price_change) OVER w, 6) END AS mean_before
     FROM changes WHERE price_change IS DISTINCT FROM 0
     WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)""")
-def rolling_prev4(spark, d):
-    changes = settle(quote_changes(spark, d), "changes").where(differs("price_change", 0.0))
-    means = runs.moving_mean_before(changes, "price_change", "mean_before", ["ts", "event_id"])
+def rolling_prev4(spark, d, **size):
+    changes = settle(quote_changes(spark, d, **size), "changes").where(differs("price_change", 0.0))
+    means = runs.moving_mean_before(changes, "price_change", "mean_before", ["ts", "event_id"], **size)
     return means.select("event_id", F.round("price_change", 6).alias("price_change"), F.round("mean_before", 6).alias("mean_before"))
 
 
@@ -93,30 +93,30 @@ def rolling_prev4(spark, d):
     SELECT event_id, ts, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS price,
            last_value(CASE WHEN event_type = 'signup' THEN CAST(user_id AS DOUBLE) END IGNORE NULLS) OVER w AS newcomer
     FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-def forward_fill(spark, d):
+def forward_fill(spark, d, **size):
     sparse = table(spark, d, "events").select(
         "event_id",
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("price"),
         F.when(F.col("event_type") == "signup", F.col("user_id").cast("double")).alias("newcomer"),
     )
-    return runs.fill_forward(sparse, ["ts", "event_id"])
+    return runs.fill_forward(sparse, ["ts", "event_id"], **size)
 
 
 @query("""
     SELECT event_id, ts, user_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS price
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
-def forward_fill_by_user(spark, d):
+def forward_fill_by_user(spark, d, **size):
     price = F.when(F.col("event_type") == "purchase", F.col("value")).alias("price")
-    return runs.fill_forward(table(spark, d, "events").select("event_id", "ts", "user_id", price), ["ts", "event_id"], by=["user_id"])
+    return runs.fill_forward(table(spark, d, "events").select("event_id", "ts", "user_id", price), ["ts", "event_id"], by=["user_id"], **size)
 
 
 @query("""
     SELECT event_id, event_type FROM (
         SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS n FROM events WINDOW w AS (ORDER BY ts, event_id))
     WHERE n = 1 OR event_type IS DISTINCT FROM before""")
-def drop_consecutive(spark, d):
-    return runs.drop_repeats(table(spark, d, "events").select("event_id", "ts", "event_type"), "event_type", ["ts", "event_id"]).drop("ts")
+def drop_consecutive(spark, d, **size):
+    return runs.drop_repeats(table(spark, d, "events").select("event_id", "ts", "event_type"), "event_type", ["ts", "event_id"], **size).drop("ts")
 
 
 @query("""

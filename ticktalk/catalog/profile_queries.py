@@ -209,8 +209,8 @@ def _rounded_summary(df, *keys):
     SELECT count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
            round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
            round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max FROM events""")
-def describe_value(spark, d):
-    return _rounded_summary(profile.describe(table(spark, d, "events"), "value"))
+def describe_value(spark, d, **size):
+    return _rounded_summary(profile.describe(table(spark, d, "events"), "value", **size))
 
 
 CHANGES = """
@@ -222,9 +222,9 @@ CHANGES = """
             FROM events WHERE event_type = 'purchase' WINDOW w AS (ORDER BY ts, event_id))))"""
 
 
-def quote_changes(spark, d):
+def quote_changes(spark, d, **size):
     quotes = table(spark, d, "events").where("event_type = 'purchase'").select("event_id", "ts", "value")
-    return gap_changes(quotes, ["ts", "event_id"], "ts", "value")
+    return gap_changes(quotes, ["ts", "event_id"], "ts", "value", **size)
 
 
 @query(f"""
@@ -233,9 +233,9 @@ def quote_changes(spark, d):
            round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
            round(quantile_cont(x, 0.75), 6) AS p75, round(max(x), 6) AS max
     FROM (SELECT price_change AS x FROM changes)""")
-def describe_change(spark, d):
-    changes = settle(quote_changes(spark, d).select("price_change"), "changes")
-    return _rounded_summary(profile.describe(changes, "price_change"))
+def describe_change(spark, d, **size):
+    changes = settle(quote_changes(spark, d, **size).select("price_change"), "changes")
+    return _rounded_summary(profile.describe(changes, "price_change", **size))
 
 
 def _histogram_sql(source, value, bins):
@@ -281,14 +281,14 @@ def binned_change(spark, d):
 @query(f"""
     WITH {CHANGES}
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, {_SPREAD.replace("(x", "(price_change")} FROM changes WHERE price_change IS NOT NULL GROUP BY 1""")
-def change_spread_by_date(spark, d):
-    changes = settle(quote_changes(spark, d).select(F.to_date("ts").alias("date"), "price_change"), "changes")
-    return _rounded_summary(profile.spread_per_group(changes, "price_change", ["date"]), F.col("date").cast("string"))
+def change_spread_by_date(spark, d, **size):
+    changes = settle(quote_changes(spark, d, **size).select(F.to_date("ts").alias("date"), "price_change"), "changes")
+    return _rounded_summary(profile.spread_per_group(changes, "price_change", ["date"], **size), F.col("date").cast("string"))
 
 
 @query(f"SELECT event_type, {_SPREAD.replace('(x', '(value')} FROM events GROUP BY 1")
-def value_spread_by_type(spark, d):
-    return _rounded_summary(profile.spread_per_group(table(spark, d, "events"), "value", ["event_type"]), "event_type")
+def value_spread_by_type(spark, d, **size):
+    return _rounded_summary(profile.spread_per_group(table(spark, d, "events"), "value", ["event_type"], **size), "event_type")
 
 
 _LABELLED = "(SELECT d.doc_id, text, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"

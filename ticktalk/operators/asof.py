@@ -4,21 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ticktalk.operators.enrich import measured
 from ticktalk.operators.runs import RUN, Runs
 
 _SIDE, _TIE, _QUOTE = "__side", "__tie", "__quote"
 
-# A price feed with one quote every 15 seconds has 2.1 million quotes a year.
-SMALL_ROWS = 2_500_000
-SMALL_BYTES = 256 << 20  # as JSON text, a few times their size in memory
 _TIMES = (T.TimestampType, T.TimestampNTZType)
-_SEARCHABLE = (*_TIMES, T.LongType, T.IntegerType, T.DoubleType)
 
 
 def _timed(df: DataFrame, on: str) -> Column:
@@ -54,42 +46,6 @@ def _pick(
     return found.select(*columns, *matched)
 
 
-def _search(chosen: DataFrame, kept: list[str], direction: str):
-    """A column function that looks a time up in the sorted quotes, which go to every task."""
-    table = chosen.toArrow().combine_chunks()
-    table = table.take(pa.compute.sort_indices(table, sort_keys=[("at", "ascending"), ("tie", "ascending")], null_placement="at_start"))
-    kind = T.StructType([T.StructField("at", chosen.schema["at"].dataType), *[chosen.schema[c] for c in kept]])
-    columns = [table.column(f.name).combine_chunks() for f in kind.fields]
-
-    # Nested, so that it travels with the function and executors need no copy of this package.
-    def numbers(times: pa.Array) -> np.ndarray:
-        whole = pa.types.is_timestamp(times.type) or pa.types.is_integer(times.type)
-        return (times.cast(pa.int64()) if whole else times).to_numpy(zero_copy_only=False)
-
-    def gap(later: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        # Differences of 64-bit numbers fit without a sign.
-        return later.view(np.uint64) - earlier.view(np.uint64) if later.dtype == np.int64 else later - earlier
-
-    axis = numbers(table.column("at").combine_chunks())
-
-    def match(times: pa.Array) -> pa.Array:
-        wanted = numbers(times)
-        behind = np.searchsorted(axis, wanted, side="right") - 1
-        beyond = np.searchsorted(axis, wanted, side="left")
-        if direction == "backward" or not len(axis):
-            place = behind
-        elif direction == "forward":
-            place = beyond
-        else:
-            last = len(axis) - 1
-            nearer = gap(wanted, axis[np.maximum(behind, 0)]) <= gap(axis[np.minimum(beyond, last)], wanted)
-            place = np.where((beyond > last) | ((behind >= 0) & nearer), behind, beyond)
-        place = pa.array(place, pa.int64(), mask=(place < 0) | (place >= len(axis)))
-        return pa.StructArray.from_arrays([c.take(place) for c in columns], kind.names)
-
-    return F.arrow_udf(match, kind)
-
-
 def asof_join(
     left: DataFrame,
     quotes: DataFrame,
@@ -100,9 +56,7 @@ def asof_join(
     direction: str = "nearest",
     tolerance: float | None = None,
     quote_time: str | None = None,
-    small_rows: int = SMALL_ROWS,
-    rows_per_run: int | None = None,
-    max_runs: int | None = None,
+    **size,
 ) -> DataFrame:
     """Every row of ``left`` with a time, plus the columns of its quote (NULL where there is none).
 
@@ -111,10 +65,9 @@ def asof_join(
     first one going forward. ``tolerance`` is in seconds for timestamps, else in units of ``on``. ``quote_time`` names
     an extra column with the time of the quote. Rows without a time, NaN included, are left out on both sides: see ``split_untimed``.
 
-    Quotes without groups that counting shows to be few (``small_rows``) go to every task, and ``left`` is not
-    shuffled. Else both sides are laid out in one order and cut into runs; a run takes the last quote before it and the
-    first one after it from a table with one row per run. So neither a hot instant nor a hot ``by`` value ends up in
-    one task.
+    Both sides are laid out in one order and cut into runs; a run takes the last quote before it and the first one after it
+    from what the other runs pass on. So neither a hot instant nor a hot ``by`` value ends up in one task, and no side is
+    gathered anywhere.
     """
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
@@ -125,16 +78,10 @@ def asof_join(
     if clash:
         raise ValueError(f"both sides have {sorted(clash)}")
 
-    if not by and isinstance(dtype, _SEARCHABLE):
-        chosen = quotes.where(_timed(quotes, on)).select(F.col(on).cast(dtype).alias("at"), (F.col(quote_tie) if quote_tie else F.lit(0)).alias("tie"), *kept)
-        rows, size = measured(chosen, small_rows)
-        if rows <= small_rows and size <= SMALL_BYTES:
-            found = left.where(_timed(left, on)).withColumn("__match", _search(chosen, kept, direction)(F.col(on)))
-            return _pick(found, left.columns, kept, on, dtype, tolerance, quote_time)
-
     # At the same time quotes come before messages, so that they count as "at or before" - unless only later ones count.
     quote_side = 1 if direction == "forward" else 0
-    tie = F.col(left_tie).cast("string") if left_tie else F.lit(None).cast("string")
+    # Without a tie-break, a hash of the row spreads the messages of one instant.
+    tie = F.col(left_tie).cast("string") if left_tie else F.xxhash64(*left.columns).cast("string")
     rows = left.where(_timed(left, on)).withColumns({_SIDE: F.lit(1 - quote_side), "__left_tie": tie})
     quote_rows = quotes.where(_timed(quotes, on)).select(
         *by,
@@ -144,7 +91,7 @@ def asof_join(
         F.struct(F.struct(*by).alias("by") if by else F.lit(0).alias("by"), F.col(on).cast(dtype).alias("at"), *kept).alias(_QUOTE),
     )
     both = rows.unionByName(quote_rows, allowMissingColumns=True)
-    runs = Runs(both, [on, _SIDE, _TIE, "__left_tie"], by, rows_per_run=rows_per_run, max_runs=max_runs)
+    runs = Runs(both, [on, _SIDE, _TIE, "__left_tie"], by, **size)
 
     ahead = [F.asc(c) for c in runs.order]
     back = [F.desc(c) for c in runs.order]
@@ -156,18 +103,10 @@ def asof_join(
         found = found.withColumn("__fore", F.last(_QUOTE, ignorenulls=True).over(runs.window(*back).rowsBetween(*so_far)))
     found = found.where(F.col(_SIDE) == 1 - quote_side)
 
-    if runs.cuts.runs > 1:
-        place = F.struct(*[F.col(c) for c in runs.keys])
-        ends = runs.per_run(
-            F.max_by(_QUOTE, place).alias("__last"),
-            F.min_by(_QUOTE, place).alias("__first"),
-            df=runs.df.where(F.col(_SIDE) == quote_side),
-        )
-        carry = ends.select(
-            RUN,
-            F.last("__last", ignorenulls=True).over(runs.earlier()).alias("__before"),
-            F.last("__first", ignorenulls=True).over(runs.later()).alias("__after"),
-        )
+    if not runs.cuts.whole:
+        place = F.when(F.col(_SIDE) == quote_side, F.struct(*[F.col(c) for c in runs.keys]))
+        ends = runs.per_run(F.max_by(_QUOTE, place).alias("__before"), F.min_by(_QUOTE, place).alias("__after"))
+        carry = runs.scan(ends, last_before=["__before"], first_after=["__after"])
         found = found.join(carry, RUN, "left")
         for near, far in (("__back", "__before"), ("__fore", "__after")):
             if near in found.columns:

@@ -29,12 +29,9 @@ def newest_rows(df: DataFrame, n: int, order: Sequence[str], plain_top: int = PL
     newest = [F.desc(c) for c in order]
     if n > plain_top:
         runs = Runs(df, order, **size)
-        if runs.cuts.runs > 1:
-            held, first = 0, 0
-            for row in runs.df.groupBy(RUN).count().orderBy(F.desc(RUN)).collect():  # one row per run
-                held, first = held + row["count"], row[RUN]
-                if held >= n:
-                    break
+        if not runs.cuts.whole:
+            newer = runs.scan(runs.per_run(F.count("*").alias("newer")), sum_after=["newer"])
+            first = newer.where(F.col("newer") < n).agg(F.min(RUN)).first()[0]
             df = runs.df.where(F.col(RUN) >= first).drop(RUN)
     return df.orderBy(*newest).limit(n)
 

@@ -1,15 +1,17 @@
 """Order-dependent operators over tables of any size.
 
 A window ordered over a whole table puts every row into one task. Here the table is cut instead into *runs*: disjoint
-ranges of the full order key, found from a small hash sample of the keys, so that a run holds a bounded share of the
-rows even when one timestamp or one group holds a third of them. Windows then work inside each run, and what a run
+ranges of the full order key, found from small hash samples of the keys, so that a run holds a bounded share of the
+rows even when one timestamp or one group holds a third of them. Cuts form a tree of two levels: up to ``FAN`` coarse
+ranges, whose cut points the plan holds, and any number of finer cuts in each, which are rows of a table. So the
+number of runs has no bound, and follows from the size of rows. Windows then work inside each run, and what a run
 needs from the runs before it comes in one of two forms:
 
 * *halo*: the last k rows before the run are copied into it (lag, moving frames);
-* *carry*: one value per run, for instance its last non-null price, is passed on through a table with one row per run
-  (fills, running totals, as-of matches).
+* *carry*: one value per run, for instance its last non-null price, is passed on (fills, running totals, as-of
+  matches): first among the runs of a coarse range, then among the coarse ranges.
 
-The sample only places the cuts. Any cuts give the same results. Order keys have to be unique for results to be
+The samples only place the cuts. Any cuts give the same results. Order keys have to be unique for results to be
 reproducible, so every operator takes tie-break columns in ``order``.
 """
 
@@ -20,12 +22,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
-ROWS_PER_RUN = 1_000_000
-MAX_RUNS = 8192  # bounds the cut list, and every table with one row per run
+from ticktalk.session import settle
+
+RUN_BYTES = 256 << 20  # rows of a run, as JSON text
+FAN = 1024  # coarse ranges; steps over coarse ranges meet no more rows than that
 SAMPLE_PER_RUN = 16
+MEASURED_ROWS = 1000
 
-RUN = "__run"
+RUN = "__run"  # coarse range in the upper 32 bits, place within it in the lower ones
 HALO = "__halo"
+_FINE_BITS = 32
 
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -34,68 +40,112 @@ _JSON = {
 }
 
 
+def _passed(points: Column, key: Column, most: int) -> Column:
+    """How many of the ascending ``points``, at most ``most``, are not above the key, by halving."""
+    depth = most.bit_length()
+    strides = F.array(*[F.lit(2**level) for level in reversed(range(depth))])
+    # Places beyond the end are null, and so is the comparison.
+    return F.aggregate(
+        strides,
+        F.lit(0),
+        lambda low, stride: F.when(F.get(points, low + stride - 1) <= key, low + stride).otherwise(low),
+    )
+
+
 @dataclass(frozen=True)
 class Cuts:
-    """Ascending cut points of an order key; run ``i`` holds the keys from point ``i`` on, below point ``i + 1``."""
+    """Ascending cut points of an order key. Coarse range ``i`` holds the keys from point ``i`` on, below point ``i + 1``;
+    ``fine`` has a row with the finer points of each coarse range, or is None where coarse ranges are runs."""
 
     keys: tuple[str, ...]
     schema: T.StructType
-    points: tuple[str, ...]  # JSON text of each key, the first run has none
+    points: tuple[str, ...]  # JSON text of each key, the first range has none
+    fine: DataFrame | None = None
+    most_fine: int = 0
 
     @property
-    def runs(self) -> int:
-        return len(self.points) + 1
+    def whole(self) -> bool:
+        """Whether there is one run only."""
+        return not self.points and self.fine is None
 
-    def run_of(self) -> Column:
-        """The run of a row, by halving the cut list: log2(runs) comparisons."""
+    def coarse_of(self) -> Column:
         if not self.points:
             return F.lit(0)
-        depth = len(self.points).bit_length()
-        padded = self.points + (self.points[-1],) * (2**depth - 1 - len(self.points))
-        cut_list = F.from_json(F.lit("[" + ",".join(padded) + "]"), T.ArrayType(self.schema), _JSON)
-        key = _key(self.keys)
-        strides = F.array(*[F.lit(2**level) for level in reversed(range(depth))])
-        passed = F.aggregate(
-            strides,
-            F.lit(0),
-            lambda low, stride: F.when(cut_list[low + stride - 1] <= key, low + stride).otherwise(low),
-        )
-        # Padding repeats the last point, so anything beyond it belongs to the last run.
-        return F.least(passed, F.lit(len(self.points)))
+        points = F.from_json(F.lit("[" + ",".join(self.points) + "]"), T.ArrayType(self.schema), _JSON)
+        return _passed(points, _key(self.keys), len(self.points))
 
 
 def _key(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(names)])
 
 
+def rows_and_width(df: DataFrame) -> tuple[int, float]:
+    """Number of rows, and bytes of a row as JSON text, estimated on a few of them."""
+    width = df.limit(MEASURED_ROWS).agg(F.avg(F.octet_length(F.to_json(F.struct("*"))))).scalar()
+    counted = df.agg(F.count("*").alias("rows")).select("rows", width.alias("width")).first()
+    return counted["rows"], counted["width"] or 1.0
+
+
 def find_cuts(
     df: DataFrame,
     keys: Sequence[str],
     rows_per_run: int | None = None,
-    max_runs: int | None = None,
+    fan: int | None = None,
+    least_runs: int = 1,
 ) -> Cuts:
-    """Choose cut points for ``df`` ordered by ``keys``: one count, and for larger tables one pass over the keys."""
-    rows_per_run, max_runs = rows_per_run or ROWS_PER_RUN, max_runs or MAX_RUNS
+    """Choose cut points for ``df`` ordered by ``keys``: one count, and for larger tables one or two passes over the keys.
+
+    Runs hold about ``rows_per_run`` rows, by default as many as fill ``RUN_BYTES``; ``least_runs`` asks for more runs.
+    """
+    fan = fan or FAN
     keyed = df.select(_key(keys).alias("key"))
     schema = keyed.schema["key"].dataType
-    rows = df.count()
-    runs = min(max_runs, -(-rows // rows_per_run))
+    if rows_per_run:
+        rows = df.count()
+    else:
+        rows, width = rows_and_width(df)
+        rows_per_run = max(1, int(RUN_BYTES / width))
+    runs = max(-(-rows // rows_per_run), min(least_runs, rows))
     if runs <= 1:
         return Cuts(tuple(keys), schema, ())
-    every = max(1, rows // (runs * SAMPLE_PER_RUN))
-    # Equal keys share a hash: distinct keeps a hot key from filling the sample.
-    sample = keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).distinct().orderBy("key")
-    found = [row.text for row in sample.select(F.to_json("key", _JSON).alias("text")).collect()]
-    places = {(i * len(found)) // runs for i in range(1, runs)} if found else set()
-    return Cuts(tuple(keys), schema, tuple(found[i] for i in sorted(places)))
+    ranges = min(fan, runs)
+
+    def sample(parts: int) -> DataFrame:
+        # Equal keys share a hash: distinct keeps a hot key from filling the sample.
+        every = max(1, rows // (parts * SAMPLE_PER_RUN))
+        return keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).distinct()
+
+    found = [row.text for row in sample(ranges).orderBy("key").select(F.to_json("key", _JSON).alias("text")).collect()]
+    places = {(i * len(found)) // ranges for i in range(1, ranges)} if found else set()
+    coarse = Cuts(tuple(keys), schema, tuple(found[i] for i in sorted(places)))
+    if runs <= fan:
+        return coarse
+    # A coarse range gets as many finer cuts as its share of the larger sample asks for.
+    in_ranges = sample(runs).select(*[F.col("key")[f"k{i}"].alias(name) for i, name in enumerate(keys)])
+    in_ranges = in_ranges.select(_key(keys).alias("key"), F.explode(F.array(coarse.coarse_of())).alias("__coarse"))
+    lists = in_ranges.groupBy("__coarse").agg(F.array_sort(F.collect_list("key")).alias("found"))
+    parts = F.greatest(F.ceil(F.size("found") / F.lit(SAMPLE_PER_RUN)), F.lit(1)).cast("int")
+    numbers = F.when(parts > 1, F.sequence(F.lit(1), parts - 1)).otherwise(F.array().cast("array<int>"))
+    cut_at = F.transform(numbers, lambda i: F.get("found", F.floor(i * F.size("found") / parts).cast("int")))
+    fine = settle(lists.select("__coarse", F.array_distinct(cut_at).alias("__points")), "cuts")
+    most = fine.agg(F.max(F.size("__points"))).first()[0] or 0
+    return Cuts(tuple(keys), schema, coarse.points, fine, most)
 
 
 def _numbered(df: DataFrame, cuts: Cuts) -> DataFrame:
-    if cuts.runs == 1:
-        return df.withColumn(RUN, F.lit(0))
+    if cuts.whole:
+        return df.withColumn(RUN, F.lit(0).cast("long"))
     # Exploding a one-element array keeps the optimizer from seeing through the column: it would derive filters for the
     # other side of a join on it that search the cuts with columns of this side.
-    return df.select(*df.columns, F.explode(F.array(cuts.run_of())).alias(RUN))
+    if cuts.fine is None:
+        number = F.shiftleft(cuts.coarse_of().cast("long"), _FINE_BITS)
+        return df.select(*df.columns, F.explode(F.array(number)).alias(RUN))
+    placed = df.select(*df.columns, F.explode(F.array(cuts.coarse_of())).alias("__coarse"))
+    # One row per coarse range: a table of some megabytes goes to every task, a larger one is met by a shuffle.
+    placed = placed.join(cuts.fine, "__coarse", "left")
+    within = _passed(F.col("__points"), _key(cuts.keys), max(cuts.most_fine, 1))
+    number = F.shiftleft(F.col("__coarse").cast("long"), _FINE_BITS) + within
+    return placed.select(*df.columns, F.explode(F.array(number)).alias(RUN))
 
 
 class Runs:
@@ -108,11 +158,12 @@ class Runs:
         by: Sequence[str] = (),
         cuts: Cuts | None = None,
         rows_per_run: int | None = None,
-        max_runs: int | None = None,
+        fan: int | None = None,
+        least_runs: int = 1,
     ):
         self.order, self.by = list(order), list(by)
         self.keys = self.by + self.order
-        self.cuts = cuts if cuts is not None else find_cuts(df, self.keys, rows_per_run, max_runs)
+        self.cuts = cuts if cuts is not None else find_cuts(df, self.keys, rows_per_run, fan, least_runs)
         self.df = _numbered(df, self.cuts)
 
     def on(self, df: DataFrame) -> Runs:
@@ -127,19 +178,48 @@ class Runs:
         return self.df.repartition(RUN)
 
     def per_run(self, *aggregates: Column, df: DataFrame | None = None) -> DataFrame:
-        """One row for every run, empty ones included."""
-        table = (self.df if df is None else df).groupBy(RUN).agg(*aggregates)
-        every = self.df.sparkSession.range(self.cuts.runs).select(F.col("id").cast("int").alias(RUN))
-        return every.join(table, RUN, "left")
-
-    # The two windows below sort a table of at most MAX_RUNS rows.
-    @staticmethod
-    def earlier() -> WindowSpec:
-        return Window.partitionBy(F.lit(0)).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
+        """One row for every run that has rows."""
+        return (self.df if df is None else df).groupBy(RUN).agg(*aggregates)
 
-    @staticmethod
-    def later() -> WindowSpec:
-        return Window.partitionBy(F.lit(0)).orderBy(F.desc(RUN)).rowsBetween(Window.unboundedPreceding, -1)
+    def scan(
+        self,
+        summary: DataFrame,
+        last_before: Sequence[str] = (),
+        first_after: Sequence[str] = (),
+        sum_before: Sequence[str] = (),
+        sum_after: Sequence[str] = (),
+    ) -> DataFrame:
+        """For every run of ``summary`` (one row per run) what the other runs pass on: in each column of ``last_before`` the
+        last non-null value of the runs before it, of ``first_after`` the first one of the runs after it, of ``sum_before``
+        and ``sum_after`` their sum.
+
+        Windows meet the runs of one coarse range, or one row for each coarse range.
+        """
+        wanted = [(c, "last", False) for c in last_before] + [(c, "last", True) for c in first_after]
+        wanted += [(c, "sum", False) for c in sum_before] + [(c, "sum", True) for c in sum_after]
+
+        def scanned(kind: str, column: str, back: bool, place: str, *within: str) -> Column:
+            frame = Window.partitionBy(*(within or [F.lit(0)])).orderBy(F.desc(place) if back else F.asc(place))
+            frame = frame.rowsBetween(Window.unboundedPreceding, -1)
+            return F.last(column, ignorenulls=True).over(frame) if kind == "last" else F.coalesce(F.sum(column).over(frame), F.lit(0))
+
+        if self.cuts.fine is None:
+            return summary.select(RUN, *[scanned(kind, c, back, RUN).alias(c) for c, kind, back in wanted])
+        # Both levels read the summary.
+        summary = settle(summary, "run-summary").withColumn("__coarse", F.shiftright(RUN, _FINE_BITS))
+        inner = summary.select(RUN, "__coarse", *[scanned(kind, c, back, RUN, "__coarse").alias(c) for c, kind, back in wanted])
+
+        def total(kind: str, column: str, back: bool) -> Column:
+            if kind == "sum":
+                return F.sum(column)
+            pick = F.min_by if back else F.max_by
+            return pick(F.col(column), F.when(F.col(column).isNotNull(), F.col(RUN)))
+
+        ranges = summary.groupBy("__coarse").agg(*[total(kind, c, back).alias(c) for c, kind, back in wanted])
+        outer = ranges.select("__coarse", *[scanned(kind, c, back, "__coarse").alias(f"__o{i}") for i, (c, kind, back) in enumerate(wanted)])
+        joined = inner.join(outer, "__coarse")
+        both = {c: F.coalesce(F.col(c), F.col(f"__o{i}")) if kind == "last" else F.col(c) + F.col(f"__o{i}") for i, (c, kind, _) in enumerate(wanted)}
+        return joined.select(RUN, *[value.alias(c) for c, value in both.items()])
 
     def with_halo(self, rows: int, needs: Sequence[str]) -> DataFrame:
         """The table plus, in every run, the ``rows`` rows that come right before it, flagged in ``__halo``.
@@ -147,25 +227,24 @@ class Runs:
         Copied rows hold the keys and the columns in ``needs``; the rest is NULL.
         """
         own = self.df.withColumn(HALO, F.lit(False))
-        if self.cuts.runs == 1:
+        if self.cuts.whole:
             return own
         narrow = list(dict.fromkeys([*self.keys, *needs]))
         newest = Window.partitionBy(RUN).orderBy(*[F.desc_nulls_last(k) for k in self.keys])
-        # One row per non-empty run with its last rows in order, then the last rows of the runs before: each of those
-        # holds at least one row, so as many runs as rows are enough.
-        tails = (
-            self.df.select(RUN, *narrow)
-            .withColumn("__n", F.row_number().over(newest))
-            .where(F.col("__n") <= rows)
-            .groupBy(RUN)
-            .agg(F.collect_list(F.struct("__n", *narrow)).alias("__tail"))
-            .withColumn("__tail", F.array_sort("__tail", lambda a, b: b["__n"] - a["__n"]))
-        )
-        recent = Window.partitionBy(F.lit(0)).orderBy(RUN).rowsBetween(-rows, -1)
-        before = tails.select(RUN, F.flatten(F.collect_list("__tail").over(recent)).alias("__before"))
-        first = F.greatest(F.size("__before") - (rows - 1), F.lit(1))
-        copies = before.select(RUN, F.explode(F.slice("__before", first, F.lit(rows))).alias("__row"))
-        copies = copies.select(RUN, *[F.col("__row")[c].alias(c) for c in narrow], F.lit(True).alias(HALO))
+        # The last rows of every run are numbered through; a run needs the numbers right below its first one. These lie in at
+        # most two blocks of ``rows`` numbers, so both sides meet by block.
+        ranked = self.df.select(RUN, *narrow).withColumn("__n", F.row_number().over(newest))
+        tails = settle(ranked.where(F.col("__n") <= rows), "tails")
+        held = tails.groupBy(RUN).agg(F.count("*").alias("__held"))
+        before = self.scan(held, sum_before=["__held"]).withColumnRenamed("__held", "__before")
+        sizes = held.join(before, RUN)
+        number = F.col("__before") + F.col("__held") - F.col("__n")
+        given = tails.join(sizes, RUN).withColumn("__number", number).withColumn("__block", F.floor(number / F.lit(rows)))
+        given = given.select("__number", "__block", *narrow)
+        blocks = F.array_distinct(F.array(F.floor((F.col("__before") - 1) / F.lit(rows)), F.floor((F.col("__before") - rows) / F.lit(rows))))
+        takers = before.select(RUN, "__before", F.explode(blocks).alias("__block"))
+        near = (F.col("__number") < F.col("__before")) & (F.col("__number") >= F.col("__before") - rows)
+        copies = takers.join(given, "__block").where(near).select(RUN, *narrow, F.lit(True).alias(HALO))
         return own.unionByName(copies, allowMissingColumns=True)
 
     def framed(self, rows: int, needs: Sequence[str], columns: dict[str, Callable[[WindowSpec], Column]]) -> DataFrame:
@@ -223,7 +302,7 @@ def fill_forward(
     columns = [c for c in df.columns if c not in runs.keys] if columns is None else list(columns)
     in_run = runs.window().rowsBetween(Window.unboundedPreceding, 0)
     filled = {c: F.last(c, ignorenulls=True).over(in_run) for c in columns}
-    if runs.cuts.runs == 1:
+    if runs.cuts.whole:
         return runs.df.withColumns(filled).select(*df.columns)
     key = _key(runs.keys)
     lasts = runs.per_run(
@@ -232,9 +311,7 @@ def fill_forward(
             for i, c in enumerate(columns)
         ]
     )
-    carry = lasts.select(
-        RUN, *[F.last(f"__c{i}", ignorenulls=True).over(runs.earlier()).alias(f"__c{i}") for i in range(len(columns))]
-    )
+    carry = runs.scan(lasts, last_before=[f"__c{i}" for i in range(len(columns))])
     joined = runs.spread().join(carry, RUN, "left").withColumns(filled)
     return joined.withColumns(
         {

@@ -62,5 +62,49 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         if not path.startswith(root):
             raise ValueError(f"{path} is not below {root}")
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(spark, path)
+
+
+# Small files of the shared file system, whatever store it is. Rows always go through Spark.
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if it is not there."""
+    target, files = _file_system(spark, folder)
+    return [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    target, files = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file."""
+    target, files = _file_system(spark, path)
+    stream = files.create(target, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, path: str, to: str) -> bool:
+    """Move a file to a place where none is yet; False if there is one."""
+    source, files = _file_system(spark, path)
+    target, _ = _file_system(spark, to)
+    return not files.exists(target) and files.rename(source, target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target, files = _file_system(spark, path)
+    files.delete(target, True)

@@ -75,7 +75,7 @@ def message_sinks(root: str, minutes: float = 1.0, shards: int = 3) -> dict[str,
         append_batch(batch.where("embedding IS NOT NULL").select("message_id", "embedding"), f"{root}/embeddings", batch_id)
 
     def keyed(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, f"{root}/messages_by_key", ["message_id"], ["publish_time", "text"])
+        upsert(batch, f"{root}/messages_by_key", ["message_id"], ["publish_time", "text"], "messages", batch_id)
 
     return {"raw": raw, "chatrooms": chatrooms, "embeddings": embeddings, "keyed": keyed}
 
@@ -87,7 +87,7 @@ def quote_sinks(root: str) -> dict[str, Sink]:
         append_batch(batch.select(*QUOTE.names), f"{root}/quotes", batch_id)
 
     def last(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.select(*QUOTE.names), f"{root}/quotes_by_symbol", ["symbol"], ["timestamp", "price"])
+        upsert(batch.select(*QUOTE.names), f"{root}/quotes_by_symbol", ["symbol"], ["timestamp", "price"], "quotes", batch_id)
 
     return {"quotes": quotes, "last": last}
 
@@ -99,6 +99,6 @@ def score_messages(payloads: DataFrame, centres: DataFrame, embed: Embed = hashe
 
 def score_sink(root: str) -> dict[str, Sink]:
     def scored(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, f"{root}/scored", ["message_id"], ["publish_time", "text"])
+        upsert(batch, f"{root}/scored", ["message_id"], ["publish_time", "text"], "scored", batch_id)
 
     return {"scored": scored}
