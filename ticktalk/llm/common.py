@@ -32,6 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have yet."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
+def text_key(text: Column) -> Column:
+    """Tells rows that share an id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null has none."""
     parts = F.split(F.coalesce(text, F.lit("")), BLANKS)

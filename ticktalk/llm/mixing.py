@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticktalk.llm.common import BLANKS, query, table, word_count
+from ticktalk.llm.common import BLANKS, fresh, query, table, text_key, word_count
 from ticktalk.session import settle
 
 #: Weights of the sources in their order, repeating; share of all sizes that the mix has; most copies of a source.
@@ -90,7 +91,7 @@ def mix(
     ids and rows: each row is a document of its own; equal rows lie in any order but have the same share. Other columns are
     ignored. Empty table: both results empty. Reruns agree: order comes from hashes of id and size only.
     """
-    raw = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    raw = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), text_key(F.col(text_col)).alias("text_key"))
     raw = settle(raw, "mix-sizes")
     goals = raw.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     n_docs = raw.count()
@@ -107,11 +108,11 @@ def mix(
     rows = raw.join(goals.select("source", "number", "source_size", "target", "quota"), raw.source.eqNullSafe(goals.source)).drop(goals.source)
     rows = rows.withColumn("order", hashed).withColumn("stretch", F.expr(f"`order` div {2**63 // stretches + 1}") + F.when(F.col("order") < 0, -stretches).otherwise(0))
     rows = rows.withColumn("one", F.lit(1).cast("long")).withColumn("both", F.struct("size", "one"))
-    line = ["order", F.col("doc_id"), "size"]
+    line = ["order", F.col("doc_id"), "size", "text_key"]
     placed = _prefix(rows.drop("both"), ["number"], "stretch", line, "size", "start")
     within = Window.partitionBy("number", "stretch").orderBy(*line)
     placed = placed.withColumn("place", F.struct(F.col("stretch"), F.row_number().over(within).alias("row")))
-    placed = settle(placed.select("doc_id", "size", "source", "number", "source_size", "target", "quota", "start", "place"), "mix-placed")
+    placed = settle(placed.select("doc_id", "size", "text_key", "source", "number", "source_size", "target", "quota", "start", "place"), "mix-placed")
 
     laps = F.explode(F.expr(f"sequence(0, {math.ceil(copies) - 1})"))
     pieces = placed.where("size > 0").select("number", "place", "size", "quota", "start", "source_size", laps.alias("pass"))
@@ -134,18 +135,23 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix as rows of ``docs``: one row for each time that a document is taken, with the words that the mix takes of it.
 
     A whole document keeps its text; where a source's share ends inside a document, the first words stay, joined by one space.
-    Documents of no words are not taken. Rows that repeat an id are told apart by their order of size, so each row's words are taken
-    as often as its size says."""
+    Documents of no words are not taken. Rows that share an id are told apart by source and text; of rows that share all three any one
+    stands for a place in the mix, and each is taken as often as its place says. Null ids are ids; other columns stay, whatever their names."""
     placed, mixture = mix(docs, id_col, text_col, source_col, **parameters)
-    taken = mixture.groupBy("number", "place", "pass").agg(F.sum("n_words").alias("_taken"))
-    ids = placed.join(taken, ["number", "place"]).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_taken", "number", "place", "pass")
-    nth = F.dense_rank().over(Window.partitionBy("_id").orderBy("_size", "number", "place"))
-    ids = ids.withColumn("_nth", nth).drop("number", "place", "pass")
-    rows = docs.withColumn("_words", word_count(F.col(text_col))).where("_words > 0")
-    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy(id_col).orderBy("_words", F.col(source_col).asc_nulls_last())))
-    out = rows.join(ids, rows[id_col].eqNullSafe(ids["_id"]) & (rows["_row"] == ids["_nth"]))
-    some = F.array_join(F.slice(F.filter(F.split(F.col(text_col), BLANKS), lambda w: w != ""), 1, F.col("_taken").cast("int")), " ")
-    text = F.when(F.col("_taken") < F.col("_size"), some).otherwise(F.col(text_col))
+    taken = mixture.groupBy("number", "place", "pass").agg(F.sum("n_words").alias("taken"))
+    copies = Window.partitionBy("doc_id", "source", "text_key").orderBy("number", "place")
+    places = placed.where("size > 0").withColumn("copy", F.row_number().over(copies)).join(taken, ["number", "place"])
+    found = fresh(docs, "mix")
+    places = places.select(F.struct("doc_id", "source", "text_key", "copy", "size", "taken").alias(found + "_place"))
+    row, place = F.col(found), F.col(found + "_place")
+    named = F.struct(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), text_key(F.col(text_col)).alias("text_key"))
+    rows = docs.where(word_count(F.col(text_col)) > 0).withColumn(found, named)
+    copy = F.row_number().over(Window.partitionBy(found).orderBy(found))
+    rows = rows.withColumn(found, F.struct(row["doc_id"].alias("doc_id"), row["source"].alias("source"), row["text_key"].alias("text_key"), copy.alias("copy")))
+    same = [row[c].eqNullSafe(place[c]) for c in ("doc_id", "source")] + [row[c] == place[c] for c in ("text_key", "copy")]
+    out = rows.join(places, reduce(lambda a, b: a & b, same))
+    some = F.array_join(F.slice(F.filter(F.split(F.col(text_col), BLANKS), lambda w: w != ""), 1, place["taken"].cast("int")), " ")
+    text = F.when(place["taken"] < place["size"], some).otherwise(F.col(text_col))
     return out.withColumn(text_col, text).select(*docs.columns)
 
 
