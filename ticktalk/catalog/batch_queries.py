@@ -45,32 +45,38 @@ def union_by_name(spark, d):
 @query("""
     SELECT event_id, user_id, event_type, value, ts, event_type AS source, CAST(year(ts) AS INTEGER) AS year,
            CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour
-    FROM events WHERE event_type IN ('purchase', 'view')""")
+    FROM events""")
 def hourly_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "hourly")
-    for name in ("purchase", "view"):  # two sources share hours; neither overwrites the other
+    for name in ("purchase", "view", "click", "error", "signup"):  # sources share hours; none overwrites another
         out.write_hourly_parquet(_events(spark, d).where(F.col("event_type") == name), path, name, "ts")
     return spark.read.parquet(path)
 
 
 @query("""
     SELECT event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour,
-           CAST(minute(ts) AS INTEGER) AS minute FROM events""")
+           CAST(minute(ts) AS INTEGER) AS minute, CAST(CAST('0x' || md5(CAST(event_id AS VARCHAR))[1:8] AS BIGINT) % 3 AS INTEGER) AS shard FROM events""")
 def sharded_json_roundtrip(spark, d):
     path = scratch_path(spark, "shards")
     events = _events(spark, d).select("event_id", "event_type", "value", F.col("ts").alias("publish_time"))
     out.write_shards(events, path, key="event_id")
     back = spark.read.schema("event_id BIGINT, event_type STRING, value DOUBLE, date STRING, hour INT, minute STRING, shard INT").json(path)
-    return back.withColumn("minute", F.col("minute").cast("int")).drop("shard")
+    return back.withColumn("minute", F.col("minute").cast("int"))
 
 
-@query("SELECT CAST(vec_id AS VARCHAR) AS message_id, len(embedding) AS width FROM embeddings")
+@query("""
+    SELECT CAST(vec_id AS VARCHAR) AS message_id, len(embedding) AS width, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total,
+           round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * i)), 6) AS weighted FROM embeddings""")
 def csv_roundtrip(spark, d):
+    """Whole vectors as text and back; a sum weighted by place tells their order."""
     path = scratch_path(spark, "csv")
     rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("message_id"), text_from_list("embedding").alias("embedding"))
     out.write_csv_table(rows, path)
     back = source.read_csv_table(spark, path, EMBEDDING_CSV)
-    return back.select("message_id", F.size(F.from_json("embedding", "array<float>")).cast("bigint").alias("width"))
+    back = back.select("message_id", F.transform(F.from_json("embedding", "array<float>"), lambda x: x.cast("double")).alias("v"))
+    add = lambda values: F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6)
+    weighted = F.transform("v", lambda x, i: x * (i + 1))
+    return back.select("message_id", F.size("v").cast("bigint").alias("width"), add(F.col("v")).alias("total"), add(weighted).alias("weighted"))
 
 
 @query(_EVENTS)

@@ -9,7 +9,7 @@ from ticktalk.session import scratch_path
 from ticktalk.sinks.files import write_shards
 from ticktalk.sinks.keyed import read_keyed, upsert
 from ticktalk.sources.streams import table_stream
-from ticktalk.streaming import flows, windows
+from ticktalk.streaming import closing, flows, windows
 
 _MESSAGE_ROWS = "(SELECT * FROM events WHERE event_type NOT IN ('signup', 'error'))"
 
@@ -58,13 +58,37 @@ def stream_windows(spark, d):
 
 @query("""
     SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour,
-           CAST(minute(ts) AS INTEGER) AS minute FROM events""")
+           CAST(minute(ts) AS INTEGER) AS minute, CAST(CAST('0x' || md5(CAST(event_id AS VARCHAR))[1:8] AS BIGINT) % 3 AS INTEGER) AS shard FROM events""")
 def stream_shards(spark, d):
     path = scratch_path(spark, "stream-shards")
     events = _published(_stream(spark, d, "events")).select("event_id", "value", "publish_time")
     write_shards(events, path, key="event_id", checkpoint=scratch_path(spark, "state")).awaitTermination()
     back = spark.read.schema("event_id BIGINT, value DOUBLE, date STRING, hour INT, minute STRING, shard INT").json(path)
-    return back.withColumn("minute", F.col("minute").cast("int")).drop("shard")
+    return back.withColumn("minute", F.col("minute").cast("int"))
+
+
+@query("""
+    SELECT CASE WHEN event_type = 'error' THEN 'late' ELSE 'published' END AS outcome, event_id,
+           time_bucket(INTERVAL '90 seconds', ts, TIMESTAMP '1970-01-01') AS window_start,
+           CAST(CAST('0x' || md5(CAST(event_id AS VARCHAR))[1:8] AS BIGINT) % 3 AS INTEGER) AS shard,
+           CASE WHEN event_type <> 'error' THEN 1 END AS publications FROM events""")
+def stream_closed_windows(spark, d):
+    """Events in three micro-batches by time, then the errors once more, when all windows are published. Each window and
+    shard has to be published once, with all rows but the errors."""
+    path = scratch_path(spark, "closed")
+    rows = _published(table(spark, d, "events")).select("event_id", "event_type", "publish_time")
+    on_time, thirds = rows.where("event_type <> 'error'"), rows.agg(F.expr("approx_percentile(publish_time, array(0.33D, 0.66D), 1000)").alias("t")).first()["t"]
+    options = {"key": "event_id", "minutes": 1.5, "delay_seconds": 600}
+    at = F.col("publish_time")
+    for n, part in enumerate([at < thirds[0], (at >= thirds[0]) & (at < thirds[1]), at >= thirds[1]]):
+        closing.close_windows(on_time.where(part), n, path, **options)
+    closing.close_all(spark, path, **{k: options[k] for k in ("key", "minutes")})
+    closing.close_windows(rows.where("event_type = 'error'"), 4, path, **options)
+    times = closing.read_windows(spark, path).groupBy("window_start", "shard").agg(F.count("*").cast("int").alias("publications"))
+    found = closing.read_published(spark, path, "event_id BIGINT, window_start TIMESTAMP, shard INT").join(times, ["window_start", "shard"])
+    late = closing.read_late(spark, path).select("event_id", "window_start", "shard", F.lit(None).cast("int").alias("publications"))
+    both = [part.select(F.lit(name).alias("outcome"), "event_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "shard", "publications") for name, part in (("published", found), ("late", late))]
+    return both[0].union(both[1])
 
 
 @query(f"""

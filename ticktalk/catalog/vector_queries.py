@@ -32,7 +32,7 @@ def nearest_centroid(spark, d):
     return near.select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
 
 
-@query("SELECT DISTINCT embedding[1] AS first, len(embedding) AS width, label FROM embeddings WHERE len(embedding) = 64")
+@query("SELECT DISTINCT CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings WHERE len(embedding) = 64")
 def clean_embeddings(spark, d):
     """Every vector delivered twice."""
     twice = table(spark, d, "embeddings").drop("vec_id")

@@ -47,8 +47,12 @@ def as_boolean(flag: Column | str) -> Column:
 
 
 def price_of(text: Column | str, mode: str = "drop") -> Column:
-    """Price as a double: NULL on bad text, or an error with ``mode="fail"``."""
-    return _col(text).cast("double") if mode == "fail" else _col(text).try_cast("double")
+    """Price as a double: NULL on bad text, or an error with ``mode="fail"``. A missing price stays NULL."""
+    price = _col(text).try_cast("double")
+    if mode != "fail":
+        return price
+    bad = F.raise_error(F.concat(F.lit("not a price: "), _col(text).cast("string"))).cast("double")
+    return F.when(price.isNull() & _col(text).isNotNull(), bad).otherwise(price)
 
 
 def text_length(text: Column | str) -> Column:
@@ -79,8 +83,10 @@ def replay_key(*columns: Column | str) -> Column:
 
 
 def shard_of(key: Column | str, shards: int = 3) -> Column:
-    """An even, retry-stable shard number in ``[0, shards)``."""
-    return F.pmod(F.xxhash64(_col(key)), F.lit(shards)).cast("int")
+    """An even, retry-stable shard number in ``[0, shards)``: the first 32 bits of the key's MD5, so that other readers can
+    compute it too. A missing key is that of the empty text."""
+    digest = F.md5(F.coalesce(_col(key).cast("string"), F.lit("")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int")
 
 
 # --- filters ---------------------------------------------------------------------------------------------------

@@ -39,7 +39,7 @@ def parse_quotes(payloads: DataFrame, now: Column | None = None, mode: str = "fa
     complete = holds_keys(RAW, [f for f in QUOTE_FIELDS if f != "timestamp"])
     text = text.where(complete if mode == "drop" else complete | F.json_object_keys(RAW).isNull())
     wire = parse_object(text, QUOTE_WIRE, mode=mode, checked=True).drop(RAW)
-    return wire.withColumns({"price": price_of("price"), "timestamp": ingest_time() if now is None else now})
+    return wire.withColumns({"price": price_of("price", mode), "timestamp": ingest_time() if now is None else now})
 
 
 def fan_out(stream: DataFrame, sinks: dict[str, Sink], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
