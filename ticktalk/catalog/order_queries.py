@@ -126,6 +126,14 @@ def latest_n_per_channel(spark, d):
     return enrich.latest_per_channel(table(spark, d, "events").select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], 10)
 
 
+@query("""
+    SELECT event_id, event_type, ts FROM events
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 2000""")
+def latest_2000_per_type(spark, d):
+    """More rows per channel than one task should take."""
+    return enrich.latest_per_channel(table(spark, d, "events").select("event_id", "event_type", "ts"), "event_type", ["ts", "event_id"], 2000)
+
+
 @query("""
     SELECT event_id, ts, user_id, event_type, value, props FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")

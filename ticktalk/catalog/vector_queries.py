@@ -32,12 +32,17 @@ def nearest_centroid(spark, d):
     return near.select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
 
 
-@query("SELECT DISTINCT CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings WHERE len(embedding) = 64")
+@query("""
+    SELECT DISTINCT round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total, len(embedding) AS width, label,
+           round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * i)), 6) AS weighted FROM embeddings WHERE len(embedding) = 64""")
 def clean_embeddings(spark, d):
     """Every vector delivered twice."""
     twice = table(spark, d, "embeddings").drop("vec_id")
     kept = clusters.clean_embeddings(twice.unionByName(twice), 64)
-    return kept.select(F.col("embedding")[0].alias("first"), F.size("embedding").cast("bigint").alias("width"), "label").distinct()
+    add = lambda values: F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6)
+    weighted = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    plain_sum = F.transform("embedding", lambda x: x.cast("double"))
+    return kept.select(add(plain_sum).alias("total"), F.size("embedding").cast("bigint").alias("width"), "label", add(weighted).alias("weighted")).distinct()
 
 
 @query()
@@ -52,6 +57,37 @@ def kmeans_short(spark, d):
     return labelled.select("vec_id", "cluster")
 
 
+def _lloyd(steps):
+    """SQL of Lloyd steps from the mean vector of each label: names ``c0, c1, ...`` of (cluster, centre) and ``s0, ...`` of (vec_id, cluster)."""
+    means = """SELECT cluster, list(m ORDER BY i) AS centre FROM (SELECT cluster, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+        FROM {rows}, (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i) GROUP BY cluster"""
+    parts = ["c0 AS MATERIALIZED (" + means.format(rows="(SELECT label AS cluster, embedding FROM embeddings)") + ")"]
+    for n in range(steps):
+        parts.append(f"""s{n} AS MATERIALIZED (SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster, any_value(embedding) AS embedding FROM (
+            SELECT vec_id, embedding, cluster, list_distance(CAST(embedding AS DOUBLE[]), centre) AS d FROM embeddings, c{n}) GROUP BY vec_id)""")
+        parts.append(f"c{n + 1} AS MATERIALIZED (" + means.format(rows=f"s{n}") + ")")
+    return ", ".join(parts)
+
+
+def _from_means(spark, d, steps):
+    start = clusters.collect_centres(label_means(spark, d))
+    return clusters.fit_clusters(table(spark, d, "embeddings"), max_iter=steps, tolerance=0.0, start=start)
+
+
+@query(f"""
+    WITH {_lloyd(5)} SELECT cluster, i - 1 AS place, round(centre[i], 5) AS value FROM c5, (SELECT unnest(range(1, 65)) AS i)""")
+def kmeans_centres(spark, d):
+    """Centres after five steps from the mean vector of each label."""
+    centres = clusters.centres_of(_from_means(spark, d, 5)[0], spark)
+    return centres.select("cluster", F.posexplode("centroid").alias("place", "value")).select("cluster", F.col("place").cast("long").alias("place"), F.round("value", 5).alias("value"))
+
+
+@query(f"WITH {_lloyd(4)} SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster FROM (SELECT vec_id, cluster, list_distance(CAST(embedding AS DOUBLE[]), centre) AS d FROM embeddings, c4) GROUP BY vec_id")
+def kmeans_from_means(spark, d):
+    """Labels after four steps from the mean vector of each label."""
+    return _from_means(spark, d, 4)[1].select("vec_id", "cluster")
+
+
 @query("SELECT vec_id, TRUE AS label_is_nearest FROM embeddings")
 def kmeans_centres_roundtrip(spark, d):
     """Centres are exported and read back; the label of every vector has to be its nearest exported centre."""

@@ -8,20 +8,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, HashingTF, Normalizer, PCAModel, StandardScaler, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticktalk.functions.messages import has_width
 from ticktalk.functions.vectors import dense
+from ticktalk.operators.kmeans import Centres, fit_centres
 from ticktalk.operators.sets import drop_copies
 from ticktalk.schemas import CENTROID
+from ticktalk.session import settle
 
 EMBEDDING_WIDTH = 768
 CLUSTERS = 5
 SEED = 1
-MAX_CENTRE_VALUES = 8 << 20  # centres go to every task
+MAX_CENTRE_VALUES = 8 << 20  # of a block of centres, which goes to every task
+BLOCKS_AT_ONCE = 8
 
 
 def clean_embeddings(df: DataFrame, width: int = EMBEDDING_WIDTH, vector: str = "embedding", keys: Sequence[str] | None = None) -> DataFrame:
@@ -35,26 +37,17 @@ def fit_clusters(
     seed: int = SEED,
     max_iter: int = 20,
     vector: str = "embedding",
-    pin_by: str | None = None,
-    partitions: int | None = None,
-) -> tuple[KMeansModel, DataFrame]:
-    """(model, ``df`` with a ``cluster`` column). ``vector`` is an array without nulls.
+    tolerance: float = 1e-4,
+    start: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[Centres, DataFrame]:
+    """(centres, ``df`` with a ``cluster`` column): see ``ticktalk.operators.kmeans``. ``start`` are the first centres, as ``collect_centres``
+    returns them, instead of chosen ones. Rows without a usable vector have no cluster."""
+    centres = fit_centres(df.select(vector), k, seed, max_iter, tolerance, start)
+    return centres, attach_nearest(df, centres, vector)
 
-    Sums depend on the layout of the rows. Where runs have to be repeatable, ``pin_by`` first lays them out by a key,
-    over ``partitions`` parts or as many as the session shuffles into; that is one shuffle of the vectors.
-    """
-    rows = df.withColumn("__features", dense(vector))
-    training = rows.select("__features", *([pin_by] if pin_by else []))
-    if pin_by:
-        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        training = training.repartition(parts, pin_by).sortWithinPartitions(pin_by)
-    estimator = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol="cluster")
-    model = estimator.fit(training.select("__features"))
-    return model, model.transform(rows).drop("__features")
-
-
-def centres_of(model: KMeansModel, spark: SparkSession) -> DataFrame:
-    rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
+
+def centres_of(centres: Centres, spark: SparkSession) -> DataFrame:
+    rows = [(int(i), [float(x) for x in centre]) for i, centre in zip(centres.numbers, centres.matrix)]
     return spark.createDataFrame(rows, CENTROID)
 
 
@@ -65,11 +58,14 @@ def latest_centres(df: DataFrame, order: str | None = None) -> DataFrame:
 
 
 def collect_centres(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(cluster numbers, matrix of centres), in order of cluster number; refuses what is too large to hand out."""
+    """(cluster numbers, matrix of centres), in order of cluster number; refuses what is too large to hand out at once."""
     rows, values = centres.agg(F.count("*"), F.coalesce(F.sum(F.size("centroid")), F.lit(0))).first()
     if values > MAX_CENTRE_VALUES:
         raise ValueError(f"{rows} centres hold {values} values, more than {MAX_CENTRE_VALUES}")
-    found = centres.orderBy("cluster").collect()
+    return _as_matrix(centres.orderBy("cluster").collect())
+
+
+def _as_matrix(found: Sequence) -> tuple[np.ndarray, np.ndarray]:
     if not found:
         return np.empty(0, np.int32), np.empty((0, 0))
     widths = {len(r.centroid) for r in found}
@@ -78,6 +74,18 @@ def collect_centres(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r.cluster for r in found], np.int32), np.array([r.centroid for r in found], np.float64)
 
 
+def centre_blocks(centres: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The centres in order of cluster number, in blocks of at most ``MAX_CENTRE_VALUES`` values; one block at least."""
+    held, values = [], 0
+    for row in centres.orderBy("cluster").toLocalIterator():  # one partition of a sorted table at a time
+        if held and values + len(row.centroid) > MAX_CENTRE_VALUES:
+            yield _as_matrix(held)
+            held, values = [], 0
+        held.append(row)
+        values += len(row.centroid)
+    yield _as_matrix(held)
+
+
 def nearest_centre(vector: Column | str, numbers: np.ndarray, matrix: np.ndarray) -> Column:
     """``struct(cluster, distance)`` of the nearest centre: the lowest number on a tie, and NULLs where there is
     none (no centres, no vector, a vector of another width, or no finite distance)."""
@@ -86,6 +94,7 @@ def nearest_centre(vector: Column | str, numbers: np.ndarray, matrix: np.ndarray
 
 def nearest_centre_function(numbers: np.ndarray, matrix: np.ndarray) -> Callable[[pa.Array], pa.Array]:
     width = matrix.shape[1]
+    norms = np.sqrt((matrix**2).sum(axis=1))
 
     def nearest(vectors: pa.Array) -> pa.Array:
         sizes = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
@@ -95,12 +104,17 @@ def nearest_centre_function(numbers: np.ndarray, matrix: np.ndarray) -> Callable
         if len(usable):
             flat = vectors.take(pa.array(usable)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             points = flat.reshape(len(usable), width)
+            lengths = np.sqrt((points**2).sum(axis=1))
             near = np.full(len(usable), np.inf)
             which = np.zeros(len(usable), np.int32)
-            for number, centre in zip(numbers, matrix):
-                gap = np.sqrt(((points - centre) ** 2).sum(axis=1))
-                closer = gap < near  # never true for NaN
-                near[closer], which[closer] = gap[closer], number
+            for number, centre, norm in zip(numbers, matrix, norms):
+                # A centre is at least as far as the norms differ; the bound gives way to rounding.
+                some = np.flatnonzero(~(np.abs(lengths - norm) * (1 - 1e-9) > near))
+                if not len(some):
+                    continue
+                gap = np.sqrt(((points[some] - centre) ** 2).sum(axis=1))
+                closer = gap < near[some]  # never true for NaN
+                near[some[closer]], which[some[closer]] = gap[closer], number
             best[usable], cluster[usable] = near, which
         none = ~np.isfinite(best)
         return pa.StructArray.from_arrays(
@@ -110,12 +124,30 @@ def nearest_centre_function(numbers: np.ndarray, matrix: np.ndarray) -> Callable
     return nearest
 
 
-def attach_nearest(df: DataFrame, centres: DataFrame, vector: str = "embedding", out: str = "cluster", distance: str | None = None) -> DataFrame:
-    """Add the number of the nearest centre, without a shuffle; works on streams too."""
-    numbers, matrix = collect_centres(centres)
-    found = df.withColumn("__near", nearest_centre(vector, numbers, matrix))
+def attach_nearest(
+    df: DataFrame, centres: DataFrame | Centres, vector: str = "embedding", out: str = "cluster", distance: str | None = None
+) -> DataFrame:
+    """Add the number of the nearest centre, without a shuffle; works on streams too.
+
+    Centres go to the tasks in blocks of ``MAX_CENTRE_VALUES`` values, and a row keeps the nearest of all blocks. After every
+    ``BLOCKS_AT_ONCE`` blocks a batch table is written, so that no task holds more of them; a stream scores its micro-batches that way.
+    """
+    blocks = iter([(centres.numbers, centres.matrix)]) if isinstance(centres, Centres) else centre_blocks(centres)
+    found, widths = df, set()
+    for n, (numbers, matrix) in enumerate(blocks):
+        widths.add(matrix.shape[1])
+        if len(widths) > 1:
+            raise ValueError(f"centres of different widths: {sorted(widths)}")
+        if n and n % BLOCKS_AT_ONCE == 0 and not df.isStreaming:
+            found = settle(found, "near")
+        near = nearest_centre(vector, numbers, matrix)
+        if n:
+            found = found.withColumn("__new", near)
+            closer = F.col("__near.distance").isNull() | (F.col("__new.distance") < F.col("__near.distance"))
+            near = F.when(F.col("__new.distance").isNotNull() & closer, F.col("__new")).otherwise(F.col("__near"))
+        found = found.withColumn("__near", near)
     columns = {out: F.col("__near.cluster")} | ({distance: F.col("__near.distance")} if distance else {})
-    return found.withColumns(columns).drop("__near")
+    return found.withColumns(columns).drop("__near", "__new")
 
 
 def fit_plane(df: DataFrame, vector: str = "embedding", components: int = 2) -> Callable[[DataFrame], DataFrame]:

@@ -6,8 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ticktalk.operators.runs import last_of_groups
+from ticktalk.session import settle
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+SALTS = 64
 
 
 def measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
@@ -39,11 +43,22 @@ def join_complete(left: DataFrame, right: DataFrame, key: str = "message_id") ->
     return left.dropna("any").join(right.dropna("any"), key)
 
 
-def latest_per_channel(df: DataFrame, channel: str, order: Sequence[str], n: int = 10) -> DataFrame:
-    """The last ``n`` rows of each channel. Each task first cuts its own rows to ``n`` per channel; Spark does so up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, 1000 unless set."""
+def latest_per_channel(df: DataFrame, channel: str, order: Sequence[str], n: int = 10, salts: int | None = None) -> DataFrame:
+    """The last ``n`` rows of each channel.
+
+    Up to the number of rows that Spark's own limit per group takes (``spark.sql.optimizer.windowGroupLimitThreshold``), each
+    task cuts its rows to ``n`` per channel before the shuffle. For more, or with ``salts``, rows of a channel are dealt over
+    ``salts`` parts by a hash, every part cuts its own to ``n``, and the parts of a channel are then ranked along runs of its
+    order, so that neither step puts a hot channel into one task.
+    """
     newest = Window.partitionBy(channel).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= n).drop("__n")
+    few = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= few and salts is None:
+        return df.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= n).drop("__n")
+    salt = F.pmod(F.xxhash64(*order), F.lit(salts or SALTS))
+    part = Window.partitionBy(channel, "__salt").orderBy(*[F.desc(c) for c in order])
+    cut = df.withColumn("__salt", salt).withColumn("__n", F.row_number().over(part)).where(F.col("__n") <= n).drop("__n", "__salt")
+    return last_of_groups(settle(cut, "channel-parts"), channel, order, n)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -221,6 +221,35 @@ class Runs:
         both = {c: F.coalesce(F.col(c), F.col(f"__o{i}")) if kind == "last" else F.col(c) + F.col(f"__o{i}") for i, (c, kind, _) in enumerate(wanted)}
         return joined.select(RUN, *[value.alias(c) for c, value in both.items()])
 
+    def rows_after(self) -> DataFrame:
+        """For every run its last group, and how many rows of that group the later runs hold.
+
+        A group goes on into later runs only from the end of its run, so the first groups of the runs are added up: the sizes
+        are chained by running totals over all runs, less the total at which the group ended.
+        """
+        sizes = settle(self.df.groupBy(RUN, self.group().alias("g")).agg(F.count("*").alias("rows")), "run-groups")
+        ends = sizes.groupBy(RUN).agg(F.min("g").alias("first"), F.max("g").alias("__last"))
+        heads = sizes.join(ends, RUN).where(F.col("g").eqNullSafe(F.col("first")))
+        coarse = F.shiftright(RUN, _FINE_BITS)
+        heads = heads.select(RUN, "g", "rows", coarse.alias("__coarse"))
+        later = (Window.unboundedPreceding, -1)
+        # Among the runs of a coarse range, then among the ranges: a group that fills many runs is not met row by row.
+        inner = heads.withColumn("near", F.coalesce(F.sum("rows").over(Window.partitionBy("__coarse", "g").orderBy(F.desc(RUN)).rowsBetween(*later)), F.lit(0)) + F.col("rows"))
+        ranges = heads.groupBy("__coarse", "g").agg(F.sum("rows").alias("rows"))
+        outer = ranges.select("__coarse", "g", F.coalesce(F.sum("rows").over(Window.partitionBy("g").orderBy(F.desc("__coarse")).rowsBetween(*later)), F.lit(0)).alias("far"))
+        beyond = outer.select(F.col("__coarse").alias("__range"), F.col("g").alias("__g"), "far")
+        held = inner.join(beyond, (F.col("__coarse") == F.col("__range")) & F.col("g").eqNullSafe(F.col("__g"))).select(RUN, "g", (F.col("near") + F.col("far")).alias("held"))
+        # A run whose last group is not its first has all later rows of it in the runs that begin with it; else its own rows count too.
+        starts = held.groupBy("g").agg(F.max("held").alias("all"))
+        last = sizes.join(ends, RUN).where(F.col("g").eqNullSafe(F.col("__last")))
+        last = last.select(RUN, "__last", "first", F.col("rows").alias("own"))
+        own = held.select(F.col(RUN).alias("__r"), F.col("g").alias("__h"), "held")
+        joined = last.join(own, (F.col(RUN) == F.col("__r")) & F.col("__last").eqNullSafe(F.col("__h")), "left")
+        joined = joined.join(starts.withColumnRenamed("g", "__s"), F.col("__last").eqNullSafe(F.col("__s")), "left")
+        inside = F.col("first").eqNullSafe(F.col("__last"))
+        after = F.when(inside, F.col("held") - F.col("own")).otherwise(F.coalesce(F.col("all"), F.lit(0)))
+        return joined.select(RUN, "__last", after.alias("__after"))
+
     def with_halo(self, rows: int, needs: Sequence[str]) -> DataFrame:
         """The table plus, in every run, the ``rows`` rows that come right before it, flagged in ``__halo``.
 
@@ -342,3 +371,15 @@ def gap_changes(
     same_day = F.to_date(ts) == F.to_date("__ts")
     change = F.when(gap > longest_gap, F.lit(0.0)).when(same_day, F.col(price) - F.col("__price"))
     return looked.withColumns({"gap_s": gap, "price_change": change}).drop("__ts", "__price")
+
+
+def last_of_groups(df: DataFrame, group: str, order: Sequence[str], n: int, **size) -> DataFrame:
+    """The last ``n`` rows of each group, however large: rows are ranked from the end inside their run, and a run is told how many rows of
+    its last group come in later runs."""
+    runs = Runs(df, order, [group], **size)
+    from_end = Window.partitionBy(RUN, group).orderBy(*[F.desc_nulls_last(c) for c in order])
+    ranked = runs.spread().withColumn("__n", F.row_number().over(from_end))
+    if not runs.cuts.whole:
+        after = runs.rows_after()
+        ranked = ranked.join(after, RUN).withColumn("__n", F.col("__n") + F.when(runs.group().eqNullSafe(F.col("__last")), F.col("__after")).otherwise(0))
+    return ranked.where(F.col("__n") <= n).select(*df.columns)

@@ -54,10 +54,9 @@ def cluster_batch(
     k: int = CLUSTERS,
     width: int = EMBEDDING_WIDTH,
     max_iter: int = 20,
-    pin_by: str | None = None,
 ) -> None:
     """Cluster all embeddings; write message to cluster as CSV, and the centres for live scoring as JSON lines."""
     vectors = settle(clean_embeddings(read_drifting_parquet(spark, parquet_path), width).select("message_id", "embedding"), "vectors")
-    model, labelled = fit_clusters(vectors, k=k, max_iter=max_iter, pin_by=pin_by)
+    model, labelled = fit_clusters(vectors, k=k, max_iter=max_iter)
     write_csv_table(labelled.select("message_id", "cluster"), assignments)
     write_centres(centres_of(model, spark), centres)
