@@ -4,10 +4,10 @@ from pyspark.sql import functions as F, types as T
 
 from ticktalk.catalog.registry import query, table
 from ticktalk.functions import messages as M, times, vectors, wire
-from ticktalk.operators import enrich, mentions, picks, profile, sets
+from ticktalk.operators import enrich, mentions, picks, profile, rollups, sets
 from ticktalk.operators.runs import gap_changes
 from ticktalk.schemas import MESSAGE
-from ticktalk.session import settle
+from ticktalk.session import scratch_path, settle
 
 WORDS = r"\b[A-Z][a-z]+"  # stands in for tickers, which the test texts lack
 
@@ -368,3 +368,18 @@ def parse_vectors(spark, d):
     parsed = written.select("vec_id", vectors.list_from_text("e").alias("e"), vectors.cluster_from_text("c").alias("cluster"))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
     return parsed.where(M.has_width("e", 64)).select("vec_id", F.size("e").cast("bigint").alias("width"), F.round(total, 4).alias("total"), "cluster")
+
+
+@query("""
+    SELECT event_type, count(*) AS messages, count(DISTINCT user_id) AS users, count(DISTINCT value) AS prices,
+           TRUE AS users_are_near, TRUE AS prices_are_near FROM events GROUP BY event_type""")
+def distinct_rollup(spark, d):
+    """Hourly roll-ups stored batch by batch and merged; their estimates have to be within 6 % of the exact numbers."""
+    events = table(spark, d, "events").withColumn("hour", F.date_trunc("hour", F.col("ts")))
+    path, by, distinct = scratch_path(spark, "rollup"), ["event_type", "hour"], ["user_id", "value"]
+    for part in range(3):
+        rollups.add_to_rollup(events.where(F.pmod("event_id", F.lit(3)) == part), path, part, by, distinct)
+    found = rollups.read_rollup(spark, path, ["event_type"], distinct)
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count_distinct("value").alias("prices"))
+    near = {f"{name}_are_near": F.abs(F.col(name) - F.col(c)) <= 0.06 * F.col(name) for name, c in (("users", "user_id"), ("prices", "value"))}
+    return found.join(exact, "event_type").withColumns(near).select("event_type", F.col("rows").alias("messages"), "users", "prices", *near)
