@@ -71,7 +71,7 @@ def stream_shards(spark, d):
     SELECT CASE WHEN event_type = 'error' THEN 'late' ELSE 'published' END AS outcome, event_id,
            time_bucket(INTERVAL '90 seconds', ts, TIMESTAMP '1970-01-01') AS window_start,
            CAST(CAST('0x' || md5(CAST(event_id AS VARCHAR))[1:8] AS BIGINT) % 3 AS INTEGER) AS shard,
-           CASE WHEN event_type <> 'error' THEN 1 END AS publications FROM events""")
+           CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS publications FROM events""")
 def stream_closed_windows(spark, d):
     """Events in three micro-batches by time, then the errors once more, when all windows are published. Each window and
     shard has to be published once, with all rows but the errors."""
@@ -86,7 +86,7 @@ def stream_closed_windows(spark, d):
     closing.close_windows(rows.where("event_type = 'error'"), 4, path, **options)
     times = closing.read_windows(spark, path).groupBy("window_start", "shard").agg(F.count("*").cast("int").alias("publications"))
     found = closing.read_published(spark, path, "event_id BIGINT, window_start TIMESTAMP, shard INT").join(times, ["window_start", "shard"])
-    late = closing.read_late(spark, path).select("event_id", "window_start", "shard", F.lit(None).cast("int").alias("publications"))
+    late = closing.read_late(spark, path).select("event_id", "window_start", "shard", F.lit(0).alias("publications"))
     both = [part.select(F.lit(name).alias("outcome"), "event_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "shard", "publications") for name, part in (("published", found), ("late", late))]
     return both[0].union(both[1])
 

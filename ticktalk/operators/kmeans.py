@@ -3,7 +3,7 @@
 Sums are whole numbers: entries count in steps of ``2**-STEPS`` of the largest one and cluster sums are exact, whatever the order of adding. Random
 choices are hashes of the vector itself. So one partition or many, in any order, give the same centres; equal vectors are alike.
 
-A pass over the vectors sends one row per task and cluster to the shuffle. The driver holds the centres, and while they are chosen
+A pass over the vectors sends one row per task and cluster. The driver holds the centres, and while they are chosen
 some thousand candidates (``OVERSAMPLING`` times ``k`` per round are expected, however large the table).
 """
 
@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 STEPS = 32
-ROUNDS, OVERSAMPLING = 5, 2
+ROUNDS, OVERSAMPLING = 2, 2
 _COST_STEPS = 20
+GATHERED = 1 << 20  # sums of so many entries, of all tasks together, are added up by the driver; more by a shuffle
 
 
 @dataclass(frozen=True)
@@ -77,11 +78,14 @@ def _totals(vectors: DataFrame, matrix: np.ndarray, exponent: int) -> tuple[np.n
     """(centre of mass of each centre's vectors, how many there are, sum of squared distances). No entry is above ``2**exponent``."""
     k, width = matrix.shape
     parts = vectors.mapInArrow(_sums(matrix, exponent), "place int, sums array<long>")
-    each = parts.select("place", F.posexplode("sums").alias("column", "x"))
-    found = each.groupBy("place", "column").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect()  # one row per entry of the centres
     total = [[0] * (width + 2) for _ in range(k)]
-    for row in found:
-        total[row["place"]][row["column"]] = int(row["x"])
+    if vectors.rdd.getNumPartitions() * k * width <= GATHERED:
+        for row in parts.collect():
+            total[row["place"]] = [x + y for x, y in zip(total[row["place"]], row["sums"])]
+    else:
+        each = parts.select("place", F.posexplode("sums").alias("column", "x"))
+        for row in each.groupBy("place", "column").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect():  # one row per entry
+            total[row["place"]][row["column"]] = int(row["x"])
     counts = np.array([row[width] for row in total], np.int64)
     moved = matrix.copy()
     for i in np.flatnonzero(counts):

@@ -4,7 +4,7 @@ A table is a log. A write adds a *delta*, the rows of the batch, and changes no
 first, with the *base*, which is split into buckets by a hash of the key. A *manifest* per version lists the files that belong
 to the table; renaming it to its place is the only step that readers see, so a write that fails leaves the version before it.
 
-Deltas of similar size are merged from time to time. Once they hold as many rows as the base, the buckets they have keys in are
+Deltas of similar size are merged from time to time. Once they hold as many rows as the base (and ``least_rows``), the buckets they have keys in are
 rewritten, and those that outgrow ``split_rows`` are split. Each table has one writer at a time; a second one is refused.
 """
 
@@ -23,6 +23,7 @@ from ticktalk.session import delete_path, list_names, read_file, rename_new, wri
 
 SPLIT_ROWS = 4_000_000
 MANY_DELTAS = 8
+LEAST_ROWS = 100_000  # fewer rows in deltas are not worth rewriting the base
 KEPT_VERSIONS = 4
 
 _VERSION = "__version"
@@ -103,6 +104,7 @@ def upsert(
     batch_id: int | None = None,
     split_rows: int = SPLIT_ROWS,
     many_deltas: int = MANY_DELTAS,
+    least_rows: int = LEAST_ROWS,
 ) -> None:
     """Replace or add the rows of ``batch``; of equal keys within it the last by ``order`` counts. Null keys are keys.
 
@@ -124,7 +126,10 @@ def upsert(
     rows = latest_per_key(batch, keys, order).withColumn(_VERSION, F.lit(manifest["version"] + 1).cast("long"))
     rows.write.parquet(f"{path}/{place}")
     count = spark.read.schema(rows.schema).parquet(f"{path}/{place}").count()
-    if count:
+    if count and count <= split_rows and not manifest["deltas"] and not any(leaf["path"] for leaf in manifest["leaves"]):
+        # The first rows are the base, as they are; readers leave the version column out.
+        manifest["leaves"] = [{"bits": 0, "depth": 0, "path": place, "rows": count}]
+    elif count:
         manifest["deltas"].append({"path": place, "rows": count})
     else:
         delete_path(spark, f"{path}/{place}")
@@ -132,7 +137,7 @@ def upsert(
             return
     manifest = _commit(spark, path, manifest)
     held, added = sum(leaf["rows"] for leaf in manifest["leaves"]), sum(d["rows"] for d in manifest["deltas"])
-    if added and added >= held:
+    if added >= max(held, least_rows):
         compact(spark, path, split_rows)
     elif len(manifest["deltas"]) >= many_deltas:
         _merge_deltas(spark, path, manifest)
