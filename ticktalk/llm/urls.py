@@ -94,17 +94,22 @@ def buckets(host: str, path: str, segmenter: Segmenter) -> list[int]:
 
 
 def word_counts(texts: DataFrame, column: str, most: int = VOCABULARY) -> dict[str, int]:
-    """The frequent lower-case words of all texts, counted over all rows: at most ``most``, words of equal count together."""
-    words = texts.select(F.explode(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), "[^a-z]+")).alias("word")).where("word <> ''")
+    """The most frequent lower-case words of all texts, runs of letters as in ``tokens``, counted over all rows: exactly ``most`` of them if there
+    are as many, the first in order of code points where counts are equal."""
+    words = texts.select(F.explode(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), r"[^\p{L}]+")).alias("word")).where("word <> ''")
     counts = settle(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
-    # The least count that leaves few enough words, from the number of words of each count.
-    least, total = 0, 0
+    # Whole counts while they fit, from the number of words of each count; of the count that doesn't, the first words.
+    room, cut = most, None
     for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
-        total += r["words"]
-        if total > most:
+        if r["words"] > room:
+            cut = r["n"]
             break
-        least = r["n"]
-    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= least).collect()} if least else {}
+        room -= r["words"]
+    whole = counts if cut is None else counts.where(F.col("n") > cut)
+    found = {r["word"]: r["n"] for r in whole.collect()}
+    if cut is not None and room:
+        found |= {r["word"]: r["n"] for r in counts.where(F.col("n") == cut).orderBy("word").limit(room).collect()}
+    return found
 
 
 def learn(rows: DataFrame, words: dict[str, int], smoothing: float = 1.0) -> tuple[np.ndarray, float]:
