@@ -103,6 +103,45 @@ def pca_map(spark, d):
     return clusters.latent_map(table(spark, d, "embeddings"), ["vec_id", "label"])
 
 
+@query("""
+    WITH means AS (SELECT i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY i)
+    SELECT vec_id, round(sum(power(CAST(embedding[i] AS DOUBLE) - m, 2)), 5) AS squared FROM embeddings, means GROUP BY vec_id""")
+def pca_distances(spark, d):
+    """All components of a vector together are as far from the middle as the vector itself."""
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    mapped = clusters.fit_plane(vectors, components=64)(vectors)
+    squares = F.array(*[F.col(f"pca{i + 1}") ** 2 for i in range(64)])
+    return mapped.select("vec_id", F.round(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x), 5).alias("squared"))
+
+
+@query("""
+    WITH means AS (SELECT i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY i),
+    spread AS (SELECT sum(power(CAST(embedding[i] AS DOUBLE) - m, 2)) / (SELECT count(*) FROM embeddings) AS v FROM embeddings JOIN means ON TRUE)
+    SELECT i AS component, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS shared, TRUE AS falling, round((SELECT v FROM spread), 5) AS total FROM (SELECT unnest(range(1, 65)) AS i)""")
+def pca_components(spark, d):
+    """Components have mean 0, share no variance with the one before, fall in variance, and hold all variance of the vectors together."""
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    mapped = clusters.fit_plane(vectors, components=64)(vectors)
+    names = [f"pca{i + 1}" for i in range(64)]
+    moments = mapped.agg(
+        *[F.avg(n).alias(f"m{i}") for i, n in enumerate(names)],
+        *[F.var_pop(n).alias(f"v{i}") for i, n in enumerate(names)],
+        *[F.covar_pop(names[max(i - 1, 0)], n).alias(f"c{i}") for i, n in enumerate(names)],
+    )
+    total = sum((F.col(f"v{i}") for i in range(1, 64)), F.col("v0"))
+    rows = [
+        F.struct(
+            F.lit(i + 1).cast("long").alias("component"),
+            F.abs(F.round(f"m{i}", 6)).alias("mean"),
+            (F.abs(F.round(f"c{i}", 6)) if i else F.lit(0.0)).alias("shared"),
+            (F.col(f"v{i}") <= F.col(f"v{max(i - 1, 0)}") + 1e-9).alias("falling"),
+            F.round(total, 5).alias("total"),
+        )
+        for i in range(64)
+    ]
+    return moments.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 @query("""
     SELECT label, count(*) AS points, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS pca1,
            round(avg(CAST(embedding[2] AS DOUBLE)), 6) AS pca2 FROM embeddings GROUP BY label""")
