@@ -8,7 +8,7 @@ from ticktalk.catalog.order_queries import NEAREST
 from ticktalk.catalog.registry import query, table
 from ticktalk.functions.vectors import text_from_list
 from ticktalk.operators import sets
-from ticktalk.plans.batch import hourly_batch
+from ticktalk.plans.batch import clean_export as write_clean_export, hourly_batch
 from ticktalk.schemas import EMBEDDING_CSV
 from ticktalk.session import scratch_path
 from ticktalk.sinks import files as out, tables
@@ -120,6 +120,20 @@ def message_csv_roundtrip(spark, d):
     return source.read_csv_table(spark, path, T.StructType().add("Message", "string"), multi_line=True)
 
 
+@query("""
+    WITH newest AS (SELECT event_id, ts, event_type || chr(10) || CASE WHEN event_id % 7 = 0 THEN '@RickBurpBot' ELSE '' END AS text
+        FROM events ORDER BY ts DESC, event_id DESC LIMIT 5000),
+    kept AS (SELECT event_id, ts, replace(text, chr(10), '\\n ') AS text FROM newest WHERE NOT contains(text, '@RickBurpBot'))
+    SELECT text AS "Message" FROM kept QUALIFY text IS DISTINCT FROM lag(text) OVER (ORDER BY ts, event_id)""")
+def clean_export(spark, d):
+    """The newest messages cleaned and written as one column, read back."""
+    path = scratch_path(spark, "clean")
+    tag = F.when(F.col("event_id") % 7 == 0, "@RickBurpBot").otherwise("")
+    messages = table(spark, d, "events").select("event_id", "ts", F.concat("event_type", F.lit("\n"), tag).alias("text"))
+    write_clean_export(messages, path, ["ts", "event_id"], n=5000)
+    return source.read_csv_table(spark, path, T.StructType().add("Message", "string"))
+
+
 @query("SELECT s_name AS name, CAST(s_suppkey AS VARCHAR) AS channel_id FROM supplier WHERE s_nationkey <> 3")
 def channel_dimension(spark, d):
     path = scratch_path(spark, "channels")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticktalk.functions.messages import bot_flag, price_of
+from ticktalk.functions.messages import BOT_TAGS, bot_flag, lacks_tags, one_line, price_of
 from ticktalk.functions.times import parse_time
 from ticktalk.operators.asof import asof_join, split_untimed
 from ticktalk.operators.clusters import CLUSTERS, EMBEDDING_WIDTH, centres_of, clean_embeddings, fit_clusters
-from ticktalk.operators.runs import fill_forward
+from ticktalk.operators.picks import newest_rows, sort_rows
+from ticktalk.operators.runs import drop_repeats, fill_forward
 from ticktalk.schemas import MESSAGE_WIRE, QUOTE_WIRE
 from ticktalk.session import settle
-from ticktalk.sinks.files import write_centres, write_csv_table, write_hourly_parquet
+from ticktalk.sinks.files import write_centres, write_csv_table, write_hourly_parquet, write_message_csv
 from ticktalk.sources.files import read_drifting_parquet, read_json_tree
 
 
@@ -41,6 +44,16 @@ def hourly_batch(spark: SparkSession, message_path: str, quote_path: str, out: s
     return rejects
 
 
+def clean_export(messages: DataFrame, path: str, order: Sequence[str], n: int = 10_000, tags: Sequence[str] = BOT_TAGS, text: str = "text", **size) -> None:
+    """The newest ``n`` messages as a one-column CSV in order of time: posts of bots left out, newlines spelled out, and texts that repeat the one
+    kept before them dropped. ``order`` ends with a tie-break. Messages without text are left out."""
+    newest = newest_rows(messages.select(*order, text), n, order, **size)
+    # The filter and the comparison with the row before both read what was picked.
+    kept = settle(newest.where(lacks_tags(text)).withColumn(text, one_line(text)), "newest")
+    once = drop_repeats(kept, text, order, **size)
+    write_message_csv(sort_rows(once, order), text, path)
+
+
 def hourly_quotes(spark: SparkSession, quote_path: str, out: str, source: str = "bitcoin") -> None:
     quotes = prepare_quotes(read_json_tree(spark, quote_path, QUOTE_WIRE)).where(F.col("timestamp").isNotNull())
     write_hourly_parquet(fill_forward(settle(quotes, "quotes"), ["timestamp", "symbol"], ["price"]), out, source)
