@@ -1,0 +1,39 @@
+"""Candidates and verification of the fuzzy line dedup."""
+
+import random
+
+import pyarrow as pa
+
+from ticktalk.llm import line_dedup
+
+
+def test_keys_of_one_line_go_and_lines_that_share_several_meet_once(monkeypatch):
+    rng = random.Random(3)
+    rows = sorted({(rng.randrange(-400, 400), rng.randrange(2000)) for _ in range(900)} | {(7, n) for n in range(60)} | {(k, n) for k in (901, 902) for n in (5, 6)})
+    rows += rows[:5]  # rows that come twice
+    rows = [(k, n, 1 if k == -399 else 0) for k, n in sorted(rows)]
+
+    def met(size):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["key", "name", "salt"]) for a in range(0, len(rows), size)]
+        groups = {}
+        for batch in line_dedup.shared_keys(iter(batches)):
+            for k, n in zip(*(c.to_pylist() for c in batch.columns)):
+                groups.setdefault(k, set()).add(n)
+        return sorted(sorted(g) for g in groups.values())
+
+    names = {}
+    for k, n, _ in rows:
+        names.setdefault(k, set()).add(n)
+    want = sorted(sorted(g) for g in {frozenset(g) for k, g in names.items() if len(g) > 1 or k == -399})
+    assert met(1) == met(37) == met(10_000) == want
+    assert [5, 6] in want and want.count([5, 6]) == 1
+    monkeypatch.setattr(line_dedup, "WAITING", 20)  # the largest group is given out in parts, under its own key
+    assert met(9) == want
+
+
+def test_pairs_are_judged_alike_alone_and_together():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab é") for _ in range(rng.randrange(14))) for _ in range(60)]
+    pairs = [(a, b) for a in texts for b in texts]
+    want = [line_dedup.distance(a, b) <= max(len(a), len(b)) * 0.2 + 1e-9 for a, b in pairs]
+    assert line_dedup.similar_pairs([a for a, _ in pairs], [b for _, b in pairs], 0.8) == want

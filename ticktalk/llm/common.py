@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticktalk.session import settle
+from ticktalk.session import discard, scratch_path, settle
 
 #: White space that separates words: the ASCII blanks. ``bytes.split()`` uses the same set.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -63,6 +63,23 @@ def may_meet(df: DataFrame, needed: DataFrame, key: Column, slots: int = 1 << 18
     return df.withColumn("_slot", slot).join(F.broadcast(used), "_slot", "left_semi").drop("_slot")
 
 
+class Scratch:
+    """Written intermediates that are deleted together, once what was made from them is written."""
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, label)
+        self.paths.append((df.sparkSession, path))
+        return settle(df, path=path)
+
+    def clear(self) -> None:
+        for spark, path in self.paths:
+            discard(spark, path)
+        self.paths = []
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches with about ``limit`` bytes of ``column`` each, one row at least. All rows pass, in order."""
     for batch in batches:
