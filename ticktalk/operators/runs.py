@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 
 from ticktalk.session import settle
 
-RUN_BYTES = 256 << 20  # rows of a run, as JSON text
+RUN_BYTES = 32 << 20  # rows of a run, as JSON text; sorted in memory, twice for an as-of join, they take several times that
 FAN = 1024  # coarse ranges; steps over coarse ranges meet no more rows than that
 SAMPLE_PER_RUN = 16
 MEASURED_ROWS = 1000
